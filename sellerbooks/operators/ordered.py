@@ -109,9 +109,11 @@ def running_and_previous(
     so one pass over the chunk totals serves both columns.
     """
     rows = _with_before(_chunked(df, keys, chunk).withColumn("_value", value), F.sum("_value"), _sum_before)
-    rows = rows.withColumn(running, _running(order_by))
-    above = F.lag(running).over(_inside([*order_by, *ties]))
-    return _done(rows.withColumn(previous, F.coalesce(above, F.col(BEFORE), F.lit(0)))).drop("_value")
+    total_order = _inside([*order_by, *ties])
+    # Numbering first sorts by the full order, which the two windows after it then share.
+    rows = rows.withColumn("_row", F.row_number().over(total_order)).withColumn(running, _running(order_by))
+    above = F.when(F.col("_row") > 1, F.lag(running).over(total_order)).otherwise(F.col(BEFORE))
+    return _done(rows.withColumn(previous, F.coalesce(above, F.lit(0)))).drop("_value", "_row")
 
 
 def previous_value(

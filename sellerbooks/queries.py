@@ -13,6 +13,7 @@ from sellerbooks.operators import grouping, joins, ordered, schema
 from sellerbooks.operators.expand import explode_refs
 from sellerbooks.operators.predicates import build_predicate
 from sellerbooks.plans import catalog, documents, feeds, finance, ledger, orders, purchase_orders, returns
+from sellerbooks.session import materialise
 from sellerbooks.sources import publish, records, tables
 from sellerbooks.sources.fixtures import Inputs
 
@@ -46,8 +47,7 @@ class Books:
     @cached_property
     def unwrap_records(self):
         fields = {"3": "Record ID#", "6": "Product Brand", "7": "Product Type"}
-        rows = records.unwrap_records(self.inputs.records_raw, "record", fields)
-        return rows.withColumnRenamed("Record_ID_Num", "Record_ID_Num")
+        return records.unwrap_records(self.inputs.records_raw, "record", fields)
 
     @cached_property
     def predicate_builder(self):
@@ -170,6 +170,11 @@ class Books:
     def combined_order_fees(self):
         return finance.combined_order_fees(self.posted_order_fees, self.open_order_fees)
 
+    @cached_property
+    def _fees(self):
+        # Read by the repair and again by the final join, so it is computed once.
+        return materialise(self.combined_order_fees)
+
     # Orders
     @cached_property
     def order_lines(self):
@@ -189,16 +194,16 @@ class Books:
 
     @cached_property
     def repair_shipments(self):
-        return orders.repair_shipments(self.assign_orders, self.combined_order_fees)
+        return orders.repair_shipments(self.assign_orders, self._fees)
 
     @cached_property
     def final_assigned_orders(self):
-        return orders.final_assigned_orders(self.repair_shipments, self.combined_order_fees)
+        return orders.final_assigned_orders(self.repair_shipments, self._fees)
 
     # Returns
     @cached_property
     def return_units(self):
-        return returns.return_units(self.combined_order_fees, self.order_unit_price)
+        return returns.return_units(self._fees, self.order_unit_price)
 
     @cached_property
     def return_expand(self):
@@ -214,7 +219,7 @@ class Books:
 
     @cached_property
     def final_assigned_returns(self):
-        return returns.final_assigned_returns(self.assign_returns, self.combined_order_fees)
+        return returns.final_assigned_returns(self.assign_returns, self._fees)
 
     # Ledger
     @cached_property
@@ -225,37 +230,42 @@ class Books:
     def active_skus(self):
         return ledger.active_skus(self.inputs.product_data, self.po_eta_default, c.LEDGER_START)
 
+    @cached_property
+    def _active(self):
+        # Read by every ledger part, so it is computed once.
+        return materialise(self.active_skus)
+
     @cached_property
     def ledger_summary(self):
-        return ledger.ledger_summary(self.inputs.stock_summary, self.active_skus, c.MEASURES, c.LEDGER_START)
+        return ledger.ledger_summary(self.inputs.stock_summary, self._active, c.MEASURES, c.LEDGER_START)
 
     @cached_property
     def ledger_events(self):
         return ledger.ledger_events(
-            self.inputs.stock_movements, self.ledger_summary, self.active_skus, self.inputs.stock_summary, c.LEDGER_START
+            self.inputs.stock_movements, self.ledger_summary, self._active, self.inputs.stock_summary, c.LEDGER_START
         )
 
     @cached_property
     def order_ledger(self):
         last_day = grouping.latest_value(self.inputs.stock_summary, "date")
-        return ledger.order_ledger(self.inputs.order_items, self.active_skus, last_day, c.LEDGER_START)
+        return ledger.order_ledger(self.inputs.order_items, self._active, last_day, c.LEDGER_START)
 
     @cached_property
     def return_ledger(self):
-        return ledger.return_ledger(self.inputs.returned_items, self.active_skus, c.LEDGER_START)
+        return ledger.return_ledger(self.inputs.returned_items, self._active, c.LEDGER_START)
 
     @cached_property
     def removal_ledger(self):
-        return ledger.removal_ledger(self.inputs.removals, self.active_skus, c.LEDGER_START)
+        return ledger.removal_ledger(self.inputs.removals, self._active, c.LEDGER_START)
 
     @cached_property
     def adjustment_ledger(self):
-        return ledger.adjustment_ledger(self.inputs.stock_movements, self.active_skus, c.LEDGER_START)
+        return ledger.adjustment_ledger(self.inputs.stock_movements, self._active, c.LEDGER_START)
 
     @cached_property
     def receipt_rolling(self):
         return ledger.receipt_rolling(
-            self.po_eta_default, self.active_skus, self.inputs.product_records, c.LEDGER_START
+            self.po_eta_default, self._active, self.inputs.product_records, c.LEDGER_START
         )
 
     @cached_property
@@ -272,13 +282,15 @@ class Books:
 
     @cached_property
     def fifo_assign(self):
+        # The bucket width and the join both read the receipts.
+        receipts = materialise(self.receipt_rolling)
         return ledger.fifo_assign(
-            self.ledger_rolling, self.inputs.product_records, self.receipt_rolling, self.inputs.order_records
+            self.ledger_rolling, self.inputs.product_records, receipts, self.inputs.order_records
         )
 
     @cached_property
     def fifo_assign_strict(self):
-        receipts = ledger.receipt_rolling_by_sku(self.inputs.po_records, self.active_skus)
+        receipts = materialise(ledger.receipt_rolling_by_sku(self.inputs.po_records, self._active))
         return ledger.fifo_assign_strict(self.ledger_rolling, receipts)
 
     # Publishing

@@ -266,8 +266,8 @@ check(
 check(
     "key_violations",
     "account_name:t asin1:t seller_sku:t row_count:i",
-    f"""SELECT {shown('account_name', 'asin1', 'seller_sku')}, count(*) AS row_count FROM {{all_listings}} GROUP BY {low('', 'account_name', 'asin1', 'seller_sku')}
-HAVING count(*) > 1 OR min(account_name) IS NULL OR min(asin1) IS NULL OR min(seller_sku) IS NULL""",
+    f"""SELECT lower(account_name) AS account_name, lower(asin1) AS asin1, lower(seller_sku) AS seller_sku, count(*) AS row_count FROM {{all_listings}} GROUP BY {low('', 'account_name', 'asin1', 'seller_sku')}
+HAVING count(*) > 1 OR lower(account_name) IS NULL OR lower(asin1) IS NULL OR lower(seller_sku) IS NULL""",
 )
 check(
     "first_per_group",

@@ -11,12 +11,32 @@ from sellerbooks.functions.columns import all_of, folded, text_is
 
 
 def group_by_text(df: DataFrame, keys: Sequence[str], *measures: Column) -> DataFrame:
-    """Group on keys that ignore case; a key shows its least spelling."""
+    """Group on keys that ignore case; a key shows its least spelling.
+
+    For catalog and label tables, whose keys are joined ignoring case and so must
+    be unique that way. A least spelling needs a sorting aggregation, so large
+    tables keyed by ids use a plain ``groupBy``, which hashes.
+    """
     marks = [f"_key{i}" for i in range(len(keys))]
     grouped = df.groupBy(*[folded(df, k).alias(m) for k, m in zip(keys, marks)])
     return grouped.agg(*[F.min(k).alias(k) for k in keys], *measures).drop(*marks)
 
 
+def unify_spelling(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Give texts that differ only in case one spelling, the least one.
+
+    Grouping compares keys as they are spelled, so that it can hash them. Run
+    this on label columns whose case varies before they are grouped; only values
+    with several spellings enter the lookup.
+    """
+    for c in columns:
+        spellings = df.select(c).distinct().groupBy(F.lower(c).alias("_folded"))
+        varying = spellings.agg(F.min(c).alias("_least"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+        found = df.join(varying.drop("_n"), F.lower(c) == F.col("_folded"), "left")
+        df = found.withColumn(c, F.coalesce("_least", c)).drop("_folded", "_least")
+    return df
+
+
 def least(*names: str) -> list[Column]:
     """Any-value columns: the least value of each, so that the pick is repeatable."""
     return [F.min(n).alias(n) for n in names]
@@ -47,8 +67,11 @@ def conditional_sums(label: str, names: Mapping[str, str], value: str, default:
 
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that would break a primary key: NULL in any part, or more than one row."""
-    counted = group_by_text(df, keys, F.count(F.lit(1)).alias("row_count"))
+    """Keys, in lower case, that would break a primary key: NULL in any part, or more than one row."""
+    marks = [f"_k{i}" for i in range(len(keys))]
+    folded_keys = [folded(df, k).alias(m) for k, m in zip(keys, marks)]
+    counted = df.groupBy(*folded_keys).agg(F.count(F.lit(1)).alias("row_count"))
+    counted = counted.withColumnsRenamed(dict(zip(marks, keys)))
     complete = all_of([F.col(k).isNotNull() for k in keys])
     return counted.filter(~complete | (F.col("row_count") > 1))
 

@@ -1,10 +1,11 @@
 """Ranks, running sums and previous values over groups of any size.
 
-A plain window sorts a whole group in one task, so a group that holds a third of
-the rows holds up the job. Here a group is cut into chunks by leading columns of
-its order (a day, say). Chunk totals are small and pre-aggregated on the map
-side; a window over them gives what came before each chunk, and the row-level
-window then runs inside one chunk. Results equal the plain window exactly.
+A window sorts a whole group in one task, so a group that holds a third of the
+rows holds up the job. Here group sizes are counted first (a map-side combined
+count) and each hot group is cut into chunks by leading columns of its order, a
+day say. Totals of those chunks give what came before each of them, and the
+row-level window then runs inside one chunk. Other groups are one chunk. Results
+equal the plain window exactly.
 
 ``chunk`` must sort like a prefix of ``order_by``: rows of an earlier chunk come
 first, and rows that tie on ``order_by`` share a chunk.
@@ -21,20 +22,29 @@ from sellerbooks.functions.columns import folded
 from sellerbooks.session import materialise
 
 GROUP, CHUNK, BEFORE = "_group", "_chunk", "_before"
+# A group above this many rows is cut, and above a share of all rows that no more
+# than MOST_HOT groups can exceed, which bounds the broadcast of the hot ones.
+HOT_ROWS = 1_000_000
+MOST_HOT = 10_000
 
 
 def _chunked(df: DataFrame, keys: Sequence[str], chunk: Sequence[Column]) -> DataFrame:
     # Structs compare NULL fields as equal, as a window partition does.
-    return df.select(
-        "*",
-        F.struct(*[folded(df, k).alias(k) for k in keys]).alias(GROUP),
-        F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)]).alias(CHUNK),
-    )
+    rows = df.select("*", F.struct(*[folded(df, k).alias(k) for k in keys]).alias(GROUP))
+    sizes = rows.groupBy(GROUP).agg(F.count(F.lit(1)).alias("_size"))
+    limit = sizes.agg(F.greatest(F.lit(HOT_ROWS), F.sum("_size") / MOST_HOT)).scalar()
+    hot = sizes.filter(F.col("_size") > limit).select(F.col(GROUP).alias("_hot"))
+    cut = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
+    rows = rows.join(F.broadcast(hot), F.col(GROUP) == F.col("_hot"), "left")
+    return rows.withColumn(CHUNK, F.when(F.col("_hot").isNotNull(), cut)).drop("_hot")
 
 
 def _with_before(df: DataFrame, total: Column, carry) -> DataFrame:
-    """Add ``carry`` of the chunk totals, taken over the earlier chunks of the group."""
-    totals = df.groupBy(GROUP, CHUNK).agg(total.alias("_total"))
+    """Add ``carry`` of the chunk totals, taken over the earlier chunks of the group.
+
+    Without hot groups the totals are empty, and the adaptive planner drops the join.
+    """
+    totals = df.filter(F.col(CHUNK).isNotNull()).groupBy(GROUP, CHUNK).agg(total.alias("_total"))
     earlier = Window.partitionBy(GROUP).orderBy(CHUNK)
     before = totals.select(
         F.col(GROUP).alias("_g"), F.col(CHUNK).alias("_c"), carry(F.col("_total"), earlier).alias(BEFORE)

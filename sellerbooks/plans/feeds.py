@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sellerbooks.functions.columns import day_text, second_text, text_or
-from sellerbooks.operators.grouping import group_by_text, latest_per_key, sync_diff
+from sellerbooks.operators.grouping import latest_per_key, sync_diff
 from sellerbooks.operators.joins import attach_ids, lookup, same, unpublished
 from sellerbooks.operators.ordered import batches, number_rows
 from sellerbooks.sources.publish import numbered_fields, payload
@@ -230,8 +230,10 @@ def settlement_fee_feed(
     wanted = unpublished(recent.select("settlement_id").distinct(), published, "settlement_id")
     rows = lookup(settlements, wanted, same("settlement_id"), how="left_semi")
     keys = [c for c in FEE_FIELDS if c not in ("status", "asin", "amount", "record_id", "currency")]
-    summed = group_by_text(
-        rows, keys, F.min("currency").alias("currency"), F.sum("amount").cast("decimal(18,4)").alias("amount")
+    # Summed per currency first, where the aggregation hashes; the least currency is picked from those sums.
+    summed = rows.groupBy(*keys, "currency").agg(F.sum("amount").cast("decimal(18,4)").alias("amount"))
+    summed = summed.groupBy(*keys).agg(
+        F.min("currency").alias("currency"), F.sum("amount").cast("decimal(18,4)").alias("amount")
     )
     # One asin per account and sku, so it is looked up after the sum.
     summed = lookup(summed, asins, same("account_name", "sku"), ["asin"]).withColumn("status", F.lit("Posted"))

@@ -42,7 +42,8 @@ def fee_types(finances: DataFrame) -> DataFrame:
     typed = finances.select(
         fee_type().alias("fee_type"), sign_label(F.col("currencyamount")).alias("credit_debit"), *KINDS
     )
-    return first_per_group(typed.filter(F.col("fee_type").isNotNull()), ["fee_type", "credit_debit"])
+    # Distinct first: it hashes, and leaves a handful of rows to group.
+    return first_per_group(typed.filter(F.col("fee_type").isNotNull()).distinct(), ["fee_type", "credit_debit"])
 
 
 def fee_mapping(types: DataFrame, settlements: DataFrame) -> DataFrame:
@@ -65,9 +66,7 @@ def fee_mapping(types: DataFrame, settlements: DataFrame) -> DataFrame:
 
 
 def settlement_totals(finances: DataFrame) -> DataFrame:
-    return group_by_text(
-        finances,
-        ["account_name", "group_id"],
+    return finances.groupBy("account_name", "group_id").agg(
         F.sum("currencyamount").cast(MONEY).alias("total_amount"),
         F.min("posteddate").alias("start_date"),
         F.max("posteddate").alias("end_date"),
@@ -90,15 +89,13 @@ def _condensed(finances: DataFrame, refund: str, *more_keys: str) -> DataFrame:
         fee_type().alias("og_transaction_type"),
         expected_type(refund).alias("og_fee_type"),
         sign_label(F.col("currencyamount")).alias("credit_debit"),
-        "currencycode",
+        F.col("currencycode").alias("currency"),
         "currencyamount",
         "quantity",
     )
-    keys = [c for c in rows.columns if c not in ("currencycode", "currencyamount", "quantity")]
-    return group_by_text(
-        rows,
-        keys,
-        F.min("currencycode").alias("currency"),
+    # The currency is a key here only, which keeps text out of the aggregation state.
+    keys = [c for c in rows.columns if c not in ("currencyamount", "quantity")]
+    return rows.groupBy(*keys).agg(
         F.sum("currencyamount").cast(MONEY).alias("amount"),
         F.sum("quantity").alias("quantity"),
     )
@@ -153,9 +150,7 @@ def open_finance_upload(finances: DataFrame, asins: DataFrame, totals: DataFrame
         "sku",
         "asin",
     ]
-    grouped = group_by_text(
-        rows,
-        keys,
+    grouped = rows.groupBy(*keys).agg(
         *least("currency", "og_transaction_type", "og_fee_type"),
         F.sum("amount").cast(MONEY).alias("amount"),
     ).withColumn("status", F.lit("Open"))
@@ -175,16 +170,19 @@ def posted_order_fees(settlements: DataFrame, asins: DataFrame, since: str = "20
         "group_id", F.coalesce("shipment_id", "adjustment_id")
     )
     keys = ["account_name", "order_id", "sku", "transaction_type", "group_id"]
-    fees = group_by_text(
-        rows,
-        keys,
+    # Only fixed-width state, so the largest aggregation of all hashes: the least
+    # description is kept as its place among the known ones.
+    known = sorted([*FEE_COLUMNS, TAX_LINE])
+    place = F.array_position(F.array(*[F.lit(k.lower()) for k in known]), F.lower("amount_description")).cast("int")
+    fees = rows.groupBy(*keys).agg(
         F.min(F.to_date("settlement_start_date")).alias("start_date"),
         F.min(F.to_date("settlement_end_date")).alias("end_date"),
-        *least("posted_date", "amount_description"),
-        F.min(F.col("settlement_id").cast("string")).alias("settlement_id"),
+        *least("posted_date", "settlement_id"),
+        F.min(place).alias("_place"),
         *conditional_sums("amount_description", FEE_COLUMNS, "amount"),
         *conditional_sums("amount_description", {"Principal": "quantity"}, "quantity_purchased"),
     )
+    fees = fees.withColumn("amount_description", F.element_at(F.array(*[F.lit(k) for k in known]), F.col("_place")))
     # The asin depends on account and sku alone, so it is looked up once per group.
     return _fee_shape(lookup(fees, asins, same(*SKU), ["asin"]).withColumn("status", F.lit("POSTED")))
 
@@ -200,9 +198,7 @@ def open_order_fees(
         {"amazonorderid": "order_id", "sellersku": "sku"}
     )
     keys = ["account_name", "order_id", "sku", "transaction_type"]
-    fees = group_by_text(
-        rows,
-        keys,
+    fees = rows.groupBy(*keys).agg(
         *least("start_date", "end_date", "amount_description", "asin"),
         F.min("posted_day").alias("posted_date"),
         F.min("group_id").alias("settlement_id"),
@@ -222,7 +218,7 @@ def _fee_shape(fees: DataFrame) -> DataFrame:
         "start_date",
         "end_date",
         "posted_date",
-        "settlement_id",
+        F.col("settlement_id").cast("string").alias("settlement_id"),
         "transaction_type",
         "group_id",
         "order_id",

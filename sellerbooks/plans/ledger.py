@@ -59,7 +59,7 @@ def ledger_summary(
     rows = _active(summary.filter(_from("date", start)), active, "msku")
     if not aggregate:
         return rows.select(*keys, "asin", *measures)
-    return group_by_text(rows, keys, *least("asin"), *[F.sum(m).cast("bigint").alias(m) for m in measures])
+    return rows.groupBy(*keys).agg(*least("asin"), *[F.sum(m).cast("bigint").alias(m) for m in measures])
 
 
 def ledger_events(
@@ -108,9 +108,8 @@ def order_ledger(all_orders: DataFrame, active: DataFrame, last_day: Column, sta
         & ~text_in("item_status", ["unshipped", "Cancelled"])
     )
     rows = _active(kept, active).withColumnRenamed("amazon_order_id", "order_id")
-    return group_by_text(
-        rows.withColumn("date", F.to_date("purchase_date")),
-        ["account_name", "order_id", "sku"],
+    grouped = rows.withColumn("date", F.to_date("purchase_date")).groupBy("account_name", "order_id", "sku")
+    return grouped.agg(
         *least("date", "asin", "order_status", "item_status"),
         F.sum(-F.col("quantity")).cast("bigint").alias("quantity"),
     ).select(*LEDGER)
@@ -121,9 +120,8 @@ def return_ledger(fba_returns: DataFrame, active: DataFrame, start: str = START)
     kept = fba_returns.filter((F.lower("status") != "reimbursed") & _from("return_date", start))
     rows = _active(kept, active).withColumn("date", F.to_date("return_date"))
     return (
-        group_by_text(
-            rows,
-            ["account_name", "order_id", "date", "sku"],
+        rows.groupBy("account_name", "order_id", "date", "sku")
+        .agg(
             *least("asin"),
             F.min("status").alias("item_status"),
             F.sum("quantity").cast("bigint").alias("quantity"),

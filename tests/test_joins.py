@@ -125,4 +125,10 @@ def test_replace_unpublished_and_key_violations(spark):
     assert [r["id"] for r in joins.unpublished(target, published, "id").collect()] == [1]
     keys = spark.createDataFrame([("a", 1), ("A", 1), (None, 2), ("c", 3)], "k string, n int")
     bad = grouping.key_violations(keys, ["k", "n"])
-    assert sorted((r["k"] or "", r["row_count"]) for r in bad.collect()) == [("", 1), ("A", 2)]
+    assert sorted((r["k"] or "", r["row_count"]) for r in bad.collect()) == [("", 1), ("a", 2)]
+
+
+def test_unify_spelling(spark):
+    df = spark.createDataFrame([("Shipped", 1), ("shipped", 2), ("open", 3), (None, 4)], "s string, v int")
+    out = grouping.unify_spelling(df, ["s"])
+    assert {r["v"]: r["s"] for r in out.collect()} == {1: "Shipped", 2: "Shipped", 3: "open", 4: None}

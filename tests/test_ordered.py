@@ -2,12 +2,19 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sellerbooks.operators import ordered
 
 
+@pytest.fixture(autouse=True, params=[0, 60, 1_000_000], ids=["all-hot", "some-hot", "none-hot"])
+def hot_rows(request, monkeypatch):
+    """Each case runs with every group cut, some cut and none cut."""
+    monkeypatch.setattr(ordered, "HOT_ROWS", request.param)
+
+
 def rows_of(df, *columns):
     return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
 

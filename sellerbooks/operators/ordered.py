@@ -2,10 +2,11 @@
 
 A window sorts a whole group in one task, so a group that holds a third of the
 rows holds up the job. Here group sizes are counted first (a map-side combined
-count) and each hot group is cut into chunks by leading columns of its order, a
-day say. Totals of those chunks give what came before each of them, and the
-row-level window then runs inside one chunk. Other groups are one chunk. Results
-equal the plain window exactly.
+count). Groups of ordinary size go through the plain window. Each hot group is
+cut into chunks by leading columns of its order, a day say: totals of the chunks
+give what came before each of them, and the window then runs inside one chunk.
+Without hot groups the second branch is empty, and the adaptive planner drops it.
+Results equal the plain window exactly.
 
 ``chunk`` must sort like a prefix of ``order_by``: rows of an earlier chunk come
 first, and rows that tie on ``order_by`` share a chunk.
@@ -13,9 +14,9 @@ first, and rows that tie on ``order_by`` share a chunk.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from sellerbooks.functions.columns import folded
@@ -27,50 +28,55 @@ GROUP, CHUNK, BEFORE = "_group", "_chunk", "_before"
 HOT_ROWS = 1_000_000
 MOST_HOT = 10_000
 
+# Adds columns to rows, given what came before their chunk and a window over it.
+Step = Callable[[DataFrame, Column, WindowSpec], DataFrame]
+Carry = Callable[[Column, WindowSpec], Column]
 
-def _chunked(df: DataFrame, keys: Sequence[str], chunk: Sequence[Column]) -> DataFrame:
+
+def _over_groups(
+    df: DataFrame, keys: Sequence[str], chunk: Sequence[Column], total: Column, carry: Carry, step: Step
+) -> DataFrame:
     # Structs compare NULL fields as equal, as a window partition does.
     rows = df.select("*", F.struct(*[folded(df, k).alias(k) for k in keys]).alias(GROUP))
     sizes = rows.groupBy(GROUP).agg(F.count(F.lit(1)).alias("_size"))
     limit = sizes.agg(F.greatest(F.lit(HOT_ROWS), F.sum("_size") / MOST_HOT)).scalar()
-    hot = sizes.filter(F.col("_size") > limit).select(F.col(GROUP).alias("_hot"))
-    cut = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
-    rows = rows.join(F.broadcast(hot), F.col(GROUP) == F.col("_hot"), "left")
-    return rows.withColumn(CHUNK, F.when(F.col("_hot").isNotNull(), cut)).drop("_hot")
+    hot = F.broadcast(sizes.filter(F.col("_size") > limit).select(F.col(GROUP).alias("_hot")))
+    is_hot = F.col(GROUP) == F.col("_hot")
 
+    # Keys as columns of their own, so that several windows share one shuffle.
+    marks = [f"_k{i}" for i in range(len(keys))]
+    ordinary = rows.join(hot, is_hot, "left_anti").drop(GROUP)
+    ordinary = ordinary.select("*", *[folded(df, k).alias(m) for k, m in zip(keys, marks)])
+    ordinary = step(ordinary, F.lit(None), Window.partitionBy(*marks)).drop(*marks)
 
-def _with_before(df: DataFrame, total: Column, carry) -> DataFrame:
-    """Add ``carry`` of the chunk totals, taken over the earlier chunks of the group.
-
-    Without hot groups the totals are empty, and the adaptive planner drops the join.
-    """
-    totals = df.filter(F.col(CHUNK).isNotNull()).groupBy(GROUP, CHUNK).agg(total.alias("_total"))
+    cut = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
+    pieces = rows.join(hot, is_hot).drop("_hot").withColumn(CHUNK, cut)
+    totals = pieces.groupBy(GROUP, CHUNK).agg(total.alias("_total"))
     earlier = Window.partitionBy(GROUP).orderBy(CHUNK)
     before = totals.select(
         F.col(GROUP).alias("_g"), F.col(CHUNK).alias("_c"), carry(F.col("_total"), earlier).alias(BEFORE)
     )
-    return df.join(before, (F.col(GROUP) == F.col("_g")) & (F.col(CHUNK) == F.col("_c")), "left").drop("_g", "_c")
+    same_chunk = (F.col(GROUP) == F.col("_g")) & (F.col(CHUNK) == F.col("_c"))
+    pieces = pieces.join(before, same_chunk, "left").drop("_g", "_c")
+    pieces = step(pieces, F.col(BEFORE), Window.partitionBy(GROUP, CHUNK)).drop(GROUP, CHUNK, BEFORE)
+    return ordinary.unionByName(pieces)
 
 
-def _sum_before(total: Column, earlier) -> Column:
+def _sum_before(total: Column, earlier: WindowSpec) -> Column:
     return F.sum(total).over(earlier.rowsBetween(Window.unboundedPreceding, -1))
 
 
-def _inside(order_by: Sequence[Column]):
-    return Window.partitionBy(GROUP, CHUNK).orderBy(*order_by)
-
-
-def _done(df: DataFrame) -> DataFrame:
-    return df.drop(GROUP, CHUNK, BEFORE)
-
-
 def number_rows(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], name: str, chunk: Sequence[Column]
 ) -> DataFrame:
     """``row_number`` within ``keys``."""
-    rows = _with_before(_chunked(df, keys, chunk), F.count(F.lit(1)), _sum_before)
-    number = F.coalesce(F.col(BEFORE), F.lit(0)) + F.row_number().over(_inside(order_by))
-    return _done(rows.withColumn(name, number))
+
+    def step(rows, before, by):
+        return rows.withColumn(name, F.coalesce(before, F.lit(0)) + F.row_number().over(by.orderBy(*order_by)))
+
+    return _over_groups(df, keys, chunk, F.count(F.lit(1)), _sum_before, step).withColumn(
+        name, F.col(name).cast("bigint")
+    )
 
 
 def number_few(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], name: str) -> DataFrame:
@@ -83,24 +89,29 @@ def sum_before(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], value: Column, name: str, chunk: Sequence[Column]
 ) -> DataFrame:
     """Sum of ``value`` over the rows before this one; zero for the first."""
-    rows = _with_before(_chunked(df, keys, chunk).withColumn("_value", value), F.sum("_value"), _sum_before)
-    local = F.sum("_value").over(_inside(order_by).rowsBetween(Window.unboundedPreceding, -1))
-    return _done(rows.withColumn(name, F.coalesce(F.col(BEFORE), F.lit(0)) + F.coalesce(local, F.lit(0)))).drop(
-        "_value"
-    )
+
+    def step(rows, before, by):
+        local = F.sum("_value").over(by.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1))
+        return rows.withColumn(name, F.coalesce(before, F.lit(0)) + F.coalesce(local, F.lit(0)))
+
+    return _over_groups(df.withColumn("_value", value), keys, chunk, F.sum("_value"), _sum_before, step).drop("_value")
+
+
+def _running(before: Column, by: WindowSpec, order_by: Sequence[Column]) -> Column:
+    """Rows that tie on ``order_by`` share one sum."""
+    local = F.sum("_value").over(by.orderBy(*order_by))
+    return F.coalesce(before + local, before, local)
 
 
 def running_sum(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], value: Column, name: str, chunk: Sequence[Column]
 ) -> DataFrame:
     """Running sum in which rows that tie on ``order_by`` share one sum."""
-    rows = _with_before(_chunked(df, keys, chunk).withColumn("_value", value), F.sum("_value"), _sum_before)
-    return _done(rows.withColumn(name, _running(order_by))).drop("_value")
 
+    def step(rows, before, by):
+        return rows.withColumn(name, _running(before, by, order_by))
 
-def _running(order_by: Sequence[Column]) -> Column:
-    local = F.sum("_value").over(_inside(order_by))
-    return F.coalesce(F.col(BEFORE) + local, F.col(BEFORE), local)
+    return _over_groups(df.withColumn("_value", value), keys, chunk, F.sum("_value"), _sum_before, step).drop("_value")
 
 
 def running_and_previous(
@@ -118,23 +129,31 @@ def running_and_previous(
     The row before a chunk's first row carries the total of the earlier chunks,
     so one pass over the chunk totals serves both columns.
     """
-    rows = _with_before(_chunked(df, keys, chunk).withColumn("_value", value), F.sum("_value"), _sum_before)
-    total_order = _inside([*order_by, *ties])
-    # Numbering first sorts by the full order, which the two windows after it then share.
-    rows = rows.withColumn("_row", F.row_number().over(total_order)).withColumn(running, _running(order_by))
-    above = F.when(F.col("_row") > 1, F.lag(running).over(total_order)).otherwise(F.col(BEFORE))
-    return _done(rows.withColumn(previous, F.coalesce(above, F.lit(0)))).drop("_value", "_row")
+
+    def step(rows, before, by):
+        total_order = by.orderBy(*order_by, *ties)
+        # Numbering first sorts by the full order, which the two windows after it then share.
+        rows = rows.withColumn("_row", F.row_number().over(total_order))
+        rows = rows.withColumn(running, _running(before, by, order_by))
+        above = F.when(F.col("_row") > 1, F.lag(running).over(total_order)).otherwise(before)
+        return rows.withColumn(previous, F.coalesce(above, F.lit(0))).drop("_row")
+
+    return _over_groups(df.withColumn("_value", value), keys, chunk, F.sum("_value"), _sum_before, step).drop("_value")
 
 
 def previous_value(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], value: str, name: str, chunk: Sequence[Column]
 ) -> DataFrame:
     """``lag(value, 1)`` within ``keys``, zero where there is none. ``order_by`` must be total."""
-    rank = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    last = F.max_by(F.struct(F.col(value).alias("v")), F.struct(*rank))
-    rows = _with_before(_chunked(df, keys, chunk), last, lambda total, earlier: F.lag(total).over(earlier))
-    above = F.lag(F.struct(F.col(value).alias("v"))).over(_inside(rank))
-    return _done(rows.withColumn(name, F.coalesce(F.coalesce(above, F.col(BEFORE))["v"], F.lit(0))))
+    kind = df.schema[value].dataType.simpleString()
+    last = F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order_by))
+
+    def step(rows, before, by):
+        above = F.lag(F.struct(F.col(value).alias("v"))).over(by.orderBy(*order_by))
+        found = F.coalesce(above, before.cast(f"struct<v:{kind}>"))
+        return rows.withColumn(name, F.coalesce(found["v"], F.lit(0)))
+
+    return _over_groups(df, keys, chunk, last, lambda total, earlier: F.lag(total).over(earlier), step)
 
 
 def global_sequence(

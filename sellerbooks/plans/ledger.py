@@ -23,6 +23,8 @@ from sellerbooks.sources.publish import map_values
 SKU = ("account_name", "sku")
 START = "2023-12-29"
 COSTS = ("duties", "customs_fees", "demurrage", "container_cost", "trucking_cost")
+# How much of an order id, after the day, cuts a hot product into chunks.
+ORDER_PREFIX = 3
 LEDGER = ("account_name", "order_id", "date", "sku", "asin", "order_status", "item_status", "quantity")
 
 
@@ -189,22 +191,20 @@ def ledger_detail(*parts: DataFrame) -> DataFrame:
     return global_sequence(ledger_rows(*parts), [F.col(c) for c in order], "id")
 
 
-def _order_prefix() -> Column:
-    return F.substring(F.lower("order_id"), 1, 3)
-
-
 def ledger_rolling(rows: DataFrame) -> DataFrame:
     """Units consumed so far per account and sku, and the same for the row before.
 
     Rows of one day and order share a sum. The day and the start of the order id
     cut a product into chunks, so no task holds a whole product.
     """
-    order = [F.col("date"), F.lower("order_id")]
+    rows = rows.withColumn("_order", F.lower("order_id"))
+    order = [F.col("date"), F.col("_order")]
     ties = [F.col(c) for c in ("asin", "order_status", "item_status", "quantity")]
-    chunk = [F.col("date"), _order_prefix()]
-    return running_and_previous(
+    chunk = [F.col("date"), F.substring("_order", 1, ORDER_PREFIX)]
+    rolled = running_and_previous(
         rows, SKU, order, ties, -F.col("quantity"), "rolling_qty", "last_rolling_qty", chunk
     )
+    return rolled.drop("_order")
 
 
 def _received(po: DataFrame, active: DataFrame, arrived: Column) -> DataFrame:

@@ -24,3 +24,13 @@ def test_entry_contract():
 
     assert set(entry.queries()) == set(entry.oracle_sql()) == set(queries.names())
     assert all(checks.columns_of(n) for n in queries.names())
+
+
+@pytest.mark.parametrize("name", ["ledger_rolling", "receipt_rolling", "ledger_events", "return_expand", "return_lines"])
+def test_query_equals_check_when_every_group_is_hot(spark, con, name, monkeypatch):
+    from sellerbooks.operators import ordered
+
+    monkeypatch.setattr(ordered, "HOT_ROWS", 0)
+    monkeypatch.setattr(ordered, "MOST_HOT", 10**9)
+    same, note = compare(spark, con, FOLDER, name)
+    assert same, note

@@ -1,12 +1,14 @@
 """Ranks, running sums and previous values over groups of any size.
 
 A window sorts a whole group in one task, so a group that holds a third of the
-rows holds up the job. Here group sizes are counted first (a map-side combined
-count). Groups of ordinary size go through the plain window. Each hot group is
-cut into chunks by leading columns of its order, a day say: totals of the chunks
-give what came before each of them, and the window then runs inside one chunk.
-Without hot groups the second branch is empty, and the adaptive planner drops it.
-Results equal the plain window exactly.
+rows holds up the job. Group sizes are therefore counted first (a map-side
+combined count over the keys alone). Groups of ordinary size go through the plain
+window. Each hot group is cut into chunks by leading columns of its order, a day
+say: totals of the chunks give what came before each of them, and the window then
+runs inside one chunk. Results equal the plain window exactly.
+
+The count runs when the result is planned and the rows are read again later, so a
+caller writes a long lineage out first (``materialise``).
 
 ``chunk`` must sort like a prefix of ``order_by``: rows of an earlier chunk come
 first, and rows that tie on ``order_by`` share a chunk.
@@ -23,8 +25,8 @@ from sellerbooks.functions.columns import folded
 from sellerbooks.session import materialise
 
 GROUP, CHUNK, BEFORE = "_group", "_chunk", "_before"
-# A group above this many rows is cut, and above a share of all rows that no more
-# than MOST_HOT groups can exceed, which bounds the broadcast of the hot ones.
+# A group above this many rows is cut; of those, the MOST_HOT largest, which bounds
+# what is read to the driver and broadcast. Any other group is a small share then.
 HOT_ROWS = 1_000_000
 MOST_HOT = 10_000
 
@@ -33,24 +35,31 @@ Step = Callable[[DataFrame, Column, WindowSpec], DataFrame]
 Carry = Callable[[Column, WindowSpec], Column]
 
 
+def _hot_groups(rows: DataFrame) -> DataFrame | None:
+    sizes = rows.groupBy(GROUP).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > HOT_ROWS)
+    hot = sizes.orderBy(F.col("_size").desc()).limit(MOST_HOT).select(F.col(GROUP).alias("_hot"))
+    found = hot.collect()
+    return rows.sparkSession.createDataFrame(found, hot.schema) if found else None
+
+
 def _over_groups(
     df: DataFrame, keys: Sequence[str], chunk: Sequence[Column], total: Column, carry: Carry, step: Step
 ) -> DataFrame:
     # Structs compare NULL fields as equal, as a window partition does.
     rows = df.select("*", F.struct(*[folded(df, k).alias(k) for k in keys]).alias(GROUP))
-    sizes = rows.groupBy(GROUP).agg(F.count(F.lit(1)).alias("_size"))
-    limit = sizes.agg(F.greatest(F.lit(HOT_ROWS), F.sum("_size") / MOST_HOT)).scalar()
-    hot = F.broadcast(sizes.filter(F.col("_size") > limit).select(F.col(GROUP).alias("_hot")))
+    hot = _hot_groups(rows)
     is_hot = F.col(GROUP) == F.col("_hot")
 
     # Keys as columns of their own, so that several windows share one shuffle.
     marks = [f"_k{i}" for i in range(len(keys))]
-    ordinary = rows.join(hot, is_hot, "left_anti").drop(GROUP)
+    ordinary = df if hot is None else rows.join(F.broadcast(hot), is_hot, "left_anti").drop(GROUP)
     ordinary = ordinary.select("*", *[folded(df, k).alias(m) for k, m in zip(keys, marks)])
     ordinary = step(ordinary, F.lit(None), Window.partitionBy(*marks)).drop(*marks)
+    if hot is None:
+        return ordinary
 
     cut = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
-    pieces = rows.join(hot, is_hot).drop("_hot").withColumn(CHUNK, cut)
+    pieces = rows.join(F.broadcast(hot), is_hot).drop("_hot").withColumn(CHUNK, cut)
     totals = pieces.groupBy(GROUP, CHUNK).agg(total.alias("_total"))
     earlier = Window.partitionBy(GROUP).orderBy(CHUNK)
     before = totals.select(

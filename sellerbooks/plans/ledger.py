@@ -18,6 +18,7 @@ from sellerbooks.operators.ordered import (
     running_and_previous,
     running_sum,
 )
+from sellerbooks.session import materialise
 from sellerbooks.sources.publish import map_values
 
 SKU = ("account_name", "sku")
@@ -254,7 +255,8 @@ def receipt_rolling(po: DataFrame, active: DataFrame, products: DataFrame, start
         )
         .distinct()
     )
-    rows = receipts.withColumn("id", F.col("id").cast("bigint")).unionByName(stock)
+    # The sum and the previous value each read these rows twice.
+    rows = materialise(receipts.unionByName(stock))
     # NULL ids sort first, and so must their chunk.
     chunk = [F.col("id").isNotNull(), F.col("eta")]
     rolled = running_sum(rows, [*SKU, "asin"], [F.col("id")], F.col("qty"), "rolling_qty", chunk)

@@ -207,7 +207,7 @@ class Books:
 
     @cached_property
     def return_expand(self):
-        return returns.return_expand(self.return_units)
+        return returns.return_expand(materialise(self.return_units))
 
     @cached_property
     def return_lines(self):
@@ -278,7 +278,7 @@ class Books:
 
     @cached_property
     def ledger_rolling(self):
-        return ledger.ledger_rolling(ledger.ledger_rows(*self._ledger_parts))
+        return ledger.ledger_rolling(materialise(ledger.ledger_rows(*self._ledger_parts)))
 
     @cached_property
     def fifo_assign(self):
@@ -376,7 +376,7 @@ class Books:
 
     @cached_property
     def order_fee_feed(self):
-        return feeds.order_fee_feed(self.combined_order_fees, self.inputs.published_settlements, self._products)
+        return feeds.order_fee_feed(self._fees, self.inputs.published_settlements, self._products)
 
     @cached_property
     def finance_fee_feed(self):

@@ -31,6 +31,6 @@ def test_query_equals_check_when_every_group_is_hot(spark, con, name, monkeypatc
     from sellerbooks.operators import ordered
 
     monkeypatch.setattr(ordered, "HOT_ROWS", 0)
-    monkeypatch.setattr(ordered, "MOST_HOT", 10**9)
+    monkeypatch.setattr(ordered, "MOST_HOT", 10**6)
     same, note = compare(spark, con, FOLDER, name)
     assert same, note

@@ -37,7 +37,7 @@ def timed(spark, folder: str, name: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     chosen = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = local_session(cores, shuffle_partitions=int(cores) if cores.isdigit() else 8)
     spark.sparkContext.setLogLevel("ERROR")

@@ -17,6 +17,7 @@ from sellerbooks.operators.expand import day_spine
 from sellerbooks.operators.grouping import latest_per_key, sync_diff
 from sellerbooks.operators.joins import attach_ids, lookup, same, unpublished
 from sellerbooks.operators.ordered import batches, number_rows
+from sellerbooks.session import materialise
 from sellerbooks.sources.publish import numbered_fields, payload
 
 PRODUCT = ("account_name", "sku", "asin")
@@ -228,7 +229,9 @@ def settlement_fee_feed(
 ) -> DataFrame:
     """Fees per settlement that started on or after ``since`` and is not published yet."""
     recent = settlements.filter(F.col("settlement_start_date") >= F.lit(since).cast("date"))
-    wanted = unpublished(recent.select("settlement_id").distinct(), published, "settlement_id")
+    # A short list of ids, written out so that the planner knows its size: a shuffle of
+    # the settlement lines by id would put each settlement into one task.
+    wanted = materialise(unpublished(recent.select("settlement_id").distinct(), published, "settlement_id"))
     rows = lookup(settlements, wanted, same("settlement_id"), how="left_semi")
     keys = [c for c in FEE_FIELDS if c not in ("status", "asin", "amount", "record_id", "currency")]
     # Summed per currency first, where the aggregation hashes; the least currency is picked from those sums.

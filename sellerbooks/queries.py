@@ -154,8 +154,8 @@ class Books:
     def _finance(self):
         # Written out so that the planner knows how small they are: mapping and totals have few
         # keys, and a shuffle of the finance events by them would fill a handful of tasks.
-        small = (self.unique_account_sku, self.settlement_totals, self.fee_mapping)
-        return self.inputs.finance_events, *[materialise(t) for t in small]
+        totals, mapping = materialise(self.settlement_totals), materialise(self.fee_mapping)
+        return self.inputs.finance_events, self.unique_account_sku, totals, mapping
 
     @cached_property
     def open_finance_upload(self):

@@ -89,6 +89,22 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple
     return starts, ends, np.repeat(np.arange(len(offsets) - 1), per_doc)
 
 
+def one_blank_apart(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words with one blank between neighbours of a document: bytes, starts and ends."""
+    keep = kind[data]
+    keep[ends[ends < len(data)]] = True
+    place = np.cumsum(keep) - 1
+    packed = data[keep]
+    starts, ends = place[starts], place[ends - 1] + 1
+    begins = np.zeros(len(packed) + 1, dtype=bool)
+    begins[starts] = True
+    gaps = ends[ends < len(packed)]
+    packed[gaps[~begins[gaps]]] = 32
+    return packed, starts, ends
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every bit of the value moves every bit of the result."""
     h = h ^ (h >> U64(33))

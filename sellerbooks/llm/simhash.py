@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sellerbooks.llm.common import LOWER, ROW, SOLID, U64, text_blocks, with_row, word_spans
+from sellerbooks.llm.common import LOWER, ROW, SOLID, U64, one_blank_apart, text_blocks, with_row, word_spans
 from sellerbooks.session import materialise
 
 SEED = 42
@@ -104,18 +104,7 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) ->
     starts, ends, owner = word_spans(lowered, offsets, SOLID)
     if not len(starts):
         return result
-    # Words one blank apart: the word's bytes and one more byte after each word.
-    keep = SOLID[lowered]
-    after = ends[ends < len(lowered)]
-    keep[after] = True
-    place = np.cumsum(keep) - 1
-    packed = lowered[keep]
-    starts, last = place[starts], place[ends - 1] + 1
-    gaps = last[last < len(packed)]
-    following = np.zeros(len(packed) + 1, dtype=bool)
-    following[starts] = True
-    packed[gaps[~following[gaps]]] = 32
-
+    packed, starts, last = one_blank_apart(lowered, starts, ends, SOLID)
     words = np.bincount(owner, minlength=docs)
     first_word = np.concatenate([[0], np.cumsum(words)[:-1]])
     # A shingle for each word that has enough words after it, or the whole of a shorter text.

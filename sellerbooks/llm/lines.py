@@ -35,7 +35,9 @@ def _lines(text: Column) -> Column:
 
 def line_places(docs: DataFrame) -> DataFrame:
     """(_row, doc_id, site, line, h1, h2): every line that is not blank, by hash."""
-    rows = with_row(docs, "doc_id", F.col("source").alias("site"), F.posexplode(_lines(F.col("text"))).alias("line", "said"))
+    # Numbered before the lines are spread: a generator in the same step would number lines.
+    rows = with_row(docs, "doc_id", F.col("source").alias("site"), "text")
+    rows = rows.select(ROW, "doc_id", "site", F.posexplode(_lines(F.col("text"))).alias("line", "said"))
     rows = rows.withColumn("said", F.btrim("said", F.lit(BLANKS))).filter("said <> ''")
     hashes = F.xxhash64("said").alias("h1"), F.xxhash64(F.lit(1), "said").alias("h2")
     # The leading mark sets a missing source apart from an empty one.

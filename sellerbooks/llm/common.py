@@ -7,7 +7,10 @@ so that memory depends on the block and on the longest single document only.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +25,22 @@ BASE = 0x9E3779B97F4A7C15
 MIX_A, MIX_B = 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53
 
 
+def ship_package(spark) -> None:
+    """Send this package to the executors, once a session, for those that do not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_sellerbooks_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="sellerbooks-code-")) / "sellerbooks-code.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(target))
+    context._sellerbooks_shipped = True
+
+
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerbooks.llm import ann, licenses, lines, mixing, packing, quality, repeats, simhash, warc
+import corpus_pipeline
+from sellerbooks.llm import ann, licenses, lines, mixing, packing, quality, repeats, search, simhash, warc
 from sellerbooks.llm.common import read_table
 
 
@@ -23,6 +24,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(read_table(spark, sf_dir, "documents"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -56,8 +61,14 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
+    found = {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": licenses.CHECK_SQL, "op2_line_dedup": lines.CHECK_SQL, "op7_warc": warc.CHECK_SQL}
+    return {
+        "op1_license_scan": licenses.CHECK_SQL,
+        "op2_line_dedup": lines.CHECK_SQL,
+        "op3_block_max_search": search.CHECK_SQL,
+        "op7_warc": warc.CHECK_SQL,
+    }

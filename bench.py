@@ -12,7 +12,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from sellerbooks import queries  # noqa: E402
-from sellerbooks.session import local_session  # noqa: E402
+from sellerbooks.session import local_session, remove_stages  # noqa: E402
 
 HEADLINE = (
     "fifo_assign",
@@ -49,6 +49,7 @@ def main() -> None:
     total = round(sum(seconds.values()), 3)
     scale = folder.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": seconds, "sf": scale}))
+    remove_stages(spark)
     spark.stop()
 
 

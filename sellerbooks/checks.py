@@ -5,6 +5,8 @@ A text names the inputs in braces: a view, or with ``q_`` before it another chec
 
 from __future__ import annotations
 
+from collections import Counter
+
 from sellerbooks.plans import feeds
 from sellerbooks.sources.fixtures import TABLES, VIEWS, check_text, names_in
 
@@ -117,6 +119,12 @@ def diff(source: str, published: str, keys: str, rest: str) -> str:
     return f"""SELECT {shown_keys}, {rest} FROM ({once(source, published, keys)}) o LEFT JOIN {source} s ON {null_safe('o', 's', keys)}"""
 
 
+def final(published: str) -> str:
+    """Published rows whose state cannot change any more."""
+    states = ", ".join(f"'{s.lower()}'" for s in feeds.OPEN_SHIPMENTS)
+    return f"(SELECT * FROM {published} WHERE lower(shipmentstatus) NOT IN ({states}))"
+
+
 def links(kind: str, record_id: str, shipment: str, cost: str, gid: str, letter: str, rows: str) -> str:
     return f"""SELECT '{kind}' AS document_type, {record_id} AS record_id, {shipment} AS fba_shipment_id, {cost} AS cost_name,
   concat('{SHEET_BASE}#gid={gid}&range=', {letter}, CAST(r.row_index + 1 AS VARCHAR)) AS url FROM {rows}"""
@@ -203,6 +211,12 @@ check(
     """SELECT json_extract_string(record, '$."3"."value"') AS Record_ID_Num, json_extract_string(record, '$."6"."value"') AS Product_Brand,
   json_extract_string(record, '$."7"."value"') AS Product_Type FROM {records_raw}""",
 )
+check(
+    "import_records",
+    "Record_ID_Num:i Product_Brand:t Product_Type:t",
+    """SELECT CAST(json_extract_string(record, '$."3"."value"') AS BIGINT) AS Record_ID_Num, json_extract_string(record, '$."6"."value"') AS Product_Brand,
+  json_extract_string(record, '$."7"."value"') AS Product_Type FROM {records_raw}""",
+)
 check(
     "predicate_builder",
     "account_name:t amazon_order_id:t sku:t order_status:t item_status:t quantity:i",
@@ -489,7 +503,7 @@ check(
     "return_expand",
     UNITS + " number:i new_ranking:i",
     f"""SELECT u.*, n.number, row_number() OVER (PARTITION BY {low('u.', 'account_name', 'order_id', 'sku')} ORDER BY {EXPAND_ORDER}, n.number) AS new_ranking
-FROM {{q_return_units}} u LEFT JOIN (SELECT unnest(range(1, 101)) AS number) n ON u.order_line_units >= n.number""",
+FROM {{q_return_units}} u LEFT JOIN (SELECT unnest(range(1, (SELECT max(order_line_units) FROM {{q_return_units}}) + 1)) AS number) n ON u.order_line_units >= n.number""",
 )
 RETURNS = (
     "ranking:i account_name:t quantity:i purchase_date:d item_price:n asin:t order_id:t merchant_order_id:t order_status:t product_name:t sku:t item_status:t"
@@ -676,7 +690,7 @@ check(
     "upsert_records",
     "account_name:t sku:t asin:t list_price:n itemname:t",
     """SELECT p.account_name, p.sku, p.asin, p.list_price, p.itemname FROM {product_data} p
-WHERE NOT EXISTS (SELECT 1 FROM {q_latest_listing} l WHERE l.account_name = p.account_name AND l.sku = p.sku AND l.asin = p.asin)
+WHERE NOT EXISTS (SELECT 1 FROM {q_latest_listing} l WHERE lower(l.account_name) = lower(p.account_name) AND lower(l.sku) = lower(p.sku) AND lower(l.asin) = lower(p.asin))
 UNION ALL SELECT account_name, sku, asin, price, NULL FROM {q_latest_listing}""",
 )
 check(
@@ -698,8 +712,9 @@ check(
 )
 check(
     "sheet_export",
-    "row_index:t sku:t unit_price:t qty:t completion_date:t customer_ref:t",
-    "SELECT CAST(row_index AS VARCHAR) AS row_index, sku, unit_price, qty, completion_date, customer_ref FROM {sheet_po}",
+    "Row_Index:t Sku:t Unit_Price:t Qty:t Completion_Date:t Customer_Ref:t Remarks:t",
+    """SELECT CAST(row_index AS VARCHAR) AS Row_Index, sku AS Sku, unit_price AS Unit_Price, qty AS Qty, completion_date AS Completion_Date, customer_ref AS Customer_Ref,
+  CASE row_index % 4 WHEN 3 THEN 'kept' ELSE '' END AS Remarks FROM {sheet_po}""",
 )
 check(
     "sheet_sort",
@@ -764,7 +779,7 @@ check(
     + record(
         "(SELECT *, (row_number() OVER (PARTITION BY lower(settlement_id) ORDER BY account_name NULLS FIRST, order_id NULLS FIRST, sku NULLS FIRST, "
         "transaction_type NULLS FIRST, group_id NULLS FIRST, ranking) - 1) // 1000 AS batch_id FROM {q_combined_order_fees} f "
-        "WHERE NOT EXISTS (SELECT 1 FROM {published_settlements} p WHERE p.settlement_id = f.settlement_id))"
+        "WHERE NOT EXISTS (SELECT 1 FROM {published_settlements} p WHERE p.settlement_id = f.settlement_id AND lower(p.status) <> 'open'))"
     )
     + ")",
 )
@@ -802,7 +817,8 @@ LEFT JOIN {{q_unique_account_sku}} s ON {eq('g', 's', 'account_name', 'sku')})""
 check(
     "shipment_feed",
     "account_name:t shipmentid:t payload:t",
-    f"SELECT account_name, shipmentid, {json(['account_name', 'shipmentid', 'shipmentname', 'shipmentstatus'])} AS payload FROM {{q_sync_new_only}}",
+    f"""SELECT s.account_name, s.shipmentid, {json(['account_name', 'shipmentid', 'shipmentname', 'shipmentstatus'], account_name='s.account_name', shipmentid='s.shipmentid')} AS payload
+FROM {{inbound_shipments}} s JOIN ({once('{inbound_shipments}', final('{published_shipments}'), 'account_name, shipmentid')}) o ON {null_safe('o', 's', 'account_name, shipmentid')}""",
 )
 DETAIL_KEYS = "account_name, shipmentid, sku, fnsku"
 check(
@@ -824,7 +840,7 @@ check(
     + " AS payload FROM ("
     + record(
         "("
-        + diff("{q_shipment_details}", "{remote_details}", DETAIL_KEYS, "s.* EXCLUDE (account_name, shipmentid, sku, fnsku)")
+        + diff("{q_shipment_details}", final("{published_details}"), DETAIL_KEYS, "s.* EXCLUDE (account_name, shipmentid, sku, fnsku)")
         + ")"
     )
     + ")",
@@ -837,13 +853,14 @@ check(
         ["account_name", "shipmentid", "shipmenttype", "trackingid", "transportstatus", "carriername", "value", "currencycode", "weight_value", "weight_unit", "packagestatus"]
     )
     + " AS payload FROM ("
-    + diff("{inbound_transport}", "{remote_shipments}", "account_name, shipmentid", "s.* EXCLUDE (account_name, shipmentid)")
+    + diff("{inbound_transport}", final("{published_shipments}"), "account_name, shipmentid", "s.* EXCLUDE (account_name, shipmentid)")
     + ")",
 )
 check(
     "receiving_rows",
     "",
-    f"""SELECT r.account_name, r.shipmentid, r.sellersku AS sku, c.asin, r.quantityshipped, r.quantityreceived, r.shipmentstatus, r.value, r.date AS received_date, r.quantity, r.shipmentname
+    f"""SELECT r.account_name, r.shipmentid, r.sellersku AS sku, c.asin, r.quantityshipped, r.quantityreceived, r.shipmentstatus, r.value, r.date AS received_date, r.quantity, r.shipmentname,
+  r.cost_per_unit, r.running_quantity, r.receipt_cost
 FROM {{inbound_report}} r LEFT JOIN (SELECT * FROM (SELECT account_name, sku, asin, row_number() OVER (PARTITION BY {low('', 'account_name', 'sku')}
     ORDER BY parent_asin DESC NULLS LAST, asin NULLS FIRST) AS n FROM {{q_catalog}}) WHERE n = 1) c ON {on('r', 'c', account_name='account_name', sellersku='sku')}
 WHERE r.shipmentstatus IS NOT NULL AND r.quantityreceived <> 0 AND r.date IS NOT NULL""",
@@ -855,7 +872,8 @@ check(
     + json(
         [
             "account_name", "shipmentid", "sku", "asin", "quantityshipped", "quantityreceived", "shipmentstatus", "value",
-            "received_date", "quantity", "shipmentname", "shipment_record_id", "record_id", "detail_record_id",
+            "received_date", "quantity", "shipmentname", "cost_per_unit", "running_quantity", "receipt_cost",
+            "shipment_record_id", "record_id", "detail_record_id",
         ],
         received_date=day("received_date"),
     )
@@ -947,6 +965,7 @@ def columns_of(name: str) -> dict[str, str]:
 def check_sql(name: str) -> str:
     """The check as one statement: its inputs as common table expressions, then the result."""
     parts: dict[str, str] = {}
+    uses: Counter[str] = Counter()
 
     def resolve(key: str) -> str:
         if key in TABLES:
@@ -955,10 +974,12 @@ def check_sql(name: str) -> str:
         if name not in parts:
             text = CHECKS[key[2:]][1] if key.startswith("q_") else check_text(key)
             names = {n: resolve(n) for n in names_in(text)}
+            uses.update(names[n] for n in names_in(text))
             parts[name] = text.format(**names)
         return name
 
     last = resolve(f"q_{name}")
-    ctes = ",\n".join(f"{n} AS ({t})" for n, t in parts.items())
+    # A part that is named more than once is computed once.
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if uses[n] > 1 else ''}({t})" for n, t in parts.items())
     shown_columns = ", ".join(f"{KINDS[k].format(c=c)} AS {c}" for c, k in columns_of(name).items())
     return f"WITH {ctes}\nSELECT {shown_columns} FROM {last}"

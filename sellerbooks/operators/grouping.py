@@ -13,28 +13,26 @@ from sellerbooks.functions.columns import all_of, folded, text_is
 def group_by_text(df: DataFrame, keys: Sequence[str], *measures: Column) -> DataFrame:
     """Group on keys that ignore case; a key shows its least spelling.
 
-    For catalog and label tables, whose keys are joined ignoring case and so must
-    be unique that way. A least spelling needs a sorting aggregation, so large
-    tables keyed by ids use a plain ``groupBy``, which hashes.
+    Keys are joined ignoring case, so they must be unique that way. A least spelling
+    needs a sorting aggregation; ``group_in_two_steps`` hashes first.
     """
     marks = [f"_key{i}" for i in range(len(keys))]
     grouped = df.groupBy(*[folded(df, k).alias(m) for k, m in zip(keys, marks)])
     return grouped.agg(*[F.min(k).alias(k) for k in keys], *measures).drop(*marks)
 
 
-def unify_spelling(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Give texts that differ only in case one spelling, the least one.
+# How a measure is taken over rows, and how its parts are joined.
+_TAKE = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.count}
+_JOIN = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.sum}
 
-    Grouping compares keys as they are spelled, so that it can hash them. Run
-    this on label columns whose case varies before they are grouped; only values
-    with several spellings enter the lookup.
+
+def group_in_two_steps(df: DataFrame, keys: Sequence[str], measures: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """``group_by_text`` for large tables: by spelling first, which hashes, then by the folded keys.
+
+    ``measures`` are (name, sum | min | max | count, column) of fixed width.
     """
-    for c in columns:
-        spellings = df.select(c).distinct().groupBy(F.lower(c).alias("_folded"))
-        varying = spellings.agg(F.min(c).alias("_least"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-        found = df.join(varying.drop("_n"), F.lower(c) == F.col("_folded"), "left")
-        df = found.withColumn(c, F.coalesce("_least", c)).drop("_folded", "_least")
-    return df
+    spelled = df.groupBy(*keys).agg(*[_TAKE[kind](column).alias(name) for name, kind, column in measures])
+    return group_by_text(spelled, keys, *[_JOIN[kind](name).alias(name) for name, kind, _ in measures])
 
 
 def least(*names: str) -> list[Column]:
@@ -86,13 +84,9 @@ def sync_diff(source: DataFrame, published: DataFrame, keys: Sequence[str], keep
     both = source.withColumn("_side", F.lit("source")).unionByName(
         published.withColumn("_side", F.lit("published")), allowMissingColumns=True
     )
-    rest = [c for c in both.columns if c not in keys]
-    once = (
-        both.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_times"), F.first(F.struct(*rest)).alias("_row"))
-        .filter("_times = 1")
-        .select(*keys, "_row.*")
-    )
+    # Keys alone are counted, which hashes and combines on the map side; then their rows are picked.
+    times = both.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_times")).filter("_times = 1")
+    once = both.join(times, all_of([F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left_semi")
     if keep == "source":
         return once.filter("_side = 'source'").drop("_side")
     return once.withColumnRenamed("_side", "side")

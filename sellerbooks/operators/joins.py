@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 
 from sellerbooks.functions.columns import all_of, folded
 
-# Buckets for positions below zero, so that many such rows do not meet in one task.
-BELOW_ZERO_SPLITS = 8
-# Widest bucket in units: bounds how much usage of one product one bucket can hold.
-WIDEST_BUCKET = 1 << 20
+# Numbers generated at a time where a row becomes many.
+RUN = 1000
 
 
 def lookup(
@@ -81,8 +79,8 @@ def unpublished(df: DataFrame, published: DataFrame, id_column: str) -> DataFram
 
 
 def replace_rows(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Drop target rows whose key is in ``new``, then add ``new``: an upsert by key."""
-    kept = target.join(new.select(*keys), list(keys), "left_anti")
+    """Drop target rows whose key, ignoring case, is in ``new``, then add ``new``: an upsert by key."""
+    kept = lookup(target, new, same(*keys), how="left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 
 
@@ -103,40 +101,45 @@ def range_assign(
     ``position <= upper and position > lower``.
 
     A join on the product alone would compare every usage row of a product with
-    every receipt of it. Here ranges are cut into buckets of the mean receipt
-    length and bucket joins the key: receipts become at most about twice as many
-    rows, each position falls into exactly one bucket, and a product that sells a
-    third of all units spreads over its buckets. The exact test stays in the join.
+    every receipt of it. Here quantities are cut into buckets as wide as the mean
+    receipt of the same product, and the bucket joins the key: a product's receipts
+    become about twice as many rows, whatever other products look like, each position
+    falls into one bucket, and a product that sells a third of all units spreads over
+    its buckets. In the run form a position below zero meets the receipts that a zero
+    meets, so it goes to bucket 0. The exact test stays in the join.
     """
-    length = F.greatest(F.col(upper) - F.col(lower), F.lit(1))
-    width = receipts.select(F.greatest(F.least(F.avg(length), F.lit(WIDEST_BUCKET)), F.lit(1)).cast("bigint")).scalar()
     marks = [f"_r{i}" for i in range(len(on))]
+    length = F.greatest(F.col("_high") - F.col("_low"), F.lit(1))
     side = receipts.select(
         *[folded(receipts, r).alias(m) for r, m in zip(on.values(), marks)],
         F.col(lower).alias("_low"),
         F.col(upper).alias("_high"),
         *[F.col(source).alias(name) for name, source in take.items()],
-    ).withColumn("_width", width)
+    )
+    products = [f"_p{i}" for i in range(len(on))]
+    widths = side.groupBy(*[F.col(m).alias(p) for m, p in zip(marks, products)]).agg(
+        F.greatest(F.avg(length), F.lit(1)).cast("bigint").alias("_width")
+    )
+    side = side.join(widths, all_of([F.col(m) == F.col(p) for m, p in zip(marks, products)])).drop(*products)
 
     start = F.col("_low") if strict else F.greatest(F.col("_low"), F.lit(0))
-    covers = F.col("_high") >= start
-    buckets = F.when(
-        covers,
-        F.sequence(F.floor(start / F.col("_width")).cast("bigint"), F.floor(F.col("_high") / F.col("_width")).cast("bigint")),
-    ).otherwise(F.array().cast("array<bigint>"))
-    usage_bucket = F.floor(F.col(position) / F.col("_width")).cast("bigint")
-    test = F.col(position) <= F.col("_high")
-    if strict:
-        test &= F.col(position) > F.col("_low")
-    else:
-        below = F.sequence(F.lit(-BELOW_ZERO_SPLITS), F.lit(-1)).cast("array<bigint>")
-        buckets = F.concat(buckets, F.when(F.col("_low") <= 0, below).otherwise(F.array().cast("array<bigint>")))
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in usage.columns]), F.lit(BELOW_ZERO_SPLITS))
-        usage_bucket = F.when(F.col(position) < 0, -1 - spread).otherwise(usage_bucket)
-        test &= F.greatest(F.col(position), F.lit(0)) >= F.col("_low")
-
-    side = side.withColumn("_bucket", F.explode(buckets)).drop("_width")
-    rows = usage.withColumn("_width", width).withColumn("_at", usage_bucket).drop("_width")
+    first, last = (F.floor(x / F.col("_width")).cast("bigint") for x in (start, F.col("_high")))
+    side = _each_number(side.filter(F.col("_high") >= start), first, last, "_bucket").drop("_width")
+
+    at = F.col(position) if strict else F.greatest(F.col(position), F.lit(0))
+    own = all_of([folded(usage, k) == F.col(p) for k, p in zip(on, products)])
+    rows = usage.join(widths, own, "left").withColumn("_at", F.floor(at / F.col("_width")).cast("bigint"))
+    rows = rows.drop("_width", *products)
+    test = (F.col(position) <= F.col("_high")) & ((at > F.col("_low")) if strict else (at >= F.col("_low")))
     keys = [folded(usage, k) == F.col(m) for k, m in zip(on, marks)]
     joined = rows.join(side, all_of([*keys, F.col("_at") == F.col("_bucket"), test]), "left")
     return joined.drop("_at", "_bucket", "_low", "_high", *marks)
+
+
+def _each_number(df: DataFrame, first: Column, last: Column, name: str) -> DataFrame:
+    """One row for each whole number from ``first`` to ``last``, generated in runs so that no array is long."""
+    runs = df.withColumn("_first", first).withColumn("_last", last)
+    runs = runs.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_last") - F.col("_first")) / RUN))))
+    begin = F.col("_first") + F.col("_run") * RUN
+    rows = runs.withColumn(name, F.explode(F.sequence(begin, F.least(begin + RUN - 1, F.col("_last")))))
+    return rows.drop("_first", "_last", "_run")

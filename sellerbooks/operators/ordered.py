@@ -1,14 +1,13 @@
 """Ranks, running sums and previous values over groups of any size.
 
-A window sorts a whole group in one task, so a group that holds a third of the
-rows holds up the job. Group sizes are therefore counted first (a map-side
-combined count over the keys alone). Groups of ordinary size go through the plain
-window. Each hot group is cut into chunks by leading columns of its order, a day
-say: totals of the chunks give what came before each of them, and the window then
-runs inside one chunk. Results equal the plain window exactly.
-
-The count runs when the result is planned and the rows are read again later, so a
-caller writes a long lineage out first (``materialise``).
+A window sorts a whole group in one task, so a group that holds a third of the rows
+would hold up the job. Every group is therefore cut into chunks by leading columns of
+its order, a day say: totals of the chunks, one row a group and day, give what came
+before each of them, and the window then runs inside one chunk. Rows, chunk totals and
+window share the partitioning by group and chunk. There is one plan for all sizes and no
+job while planning; the rows are read twice, so a caller writes a long lineage out first
+(``materialise``). Where an order has no such column, ``number_in_order`` numbers the
+rows by sampled ranges of the whole order instead.
 
 ``chunk`` must sort like a prefix of ``order_by``: rows of an earlier chunk come
 first, and rows that tie on ``order_by`` share a chunk.
@@ -21,54 +20,33 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from sellerbooks.functions.columns import folded
+from sellerbooks.functions.columns import all_of, folded
 from sellerbooks.session import materialise
 
-GROUP, CHUNK, BEFORE = "_group", "_chunk", "_before"
-# A group above this many rows is cut; of those, the MOST_HOT largest, which bounds
-# what is read to the driver and broadcast. Any other group is a small share then.
-HOT_ROWS = 1_000_000
-MOST_HOT = 10_000
-
+CHUNK, BEFORE = "_chunk", "_before"
 # Adds columns to rows, given what came before their chunk and a window over it.
 Step = Callable[[DataFrame, Column, WindowSpec], DataFrame]
 Carry = Callable[[Column, WindowSpec], Column]
 
 
-def _hot_groups(rows: DataFrame) -> DataFrame | None:
-    sizes = rows.groupBy(GROUP).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > HOT_ROWS)
-    hot = sizes.orderBy(F.col("_size").desc()).limit(MOST_HOT).select(F.col(GROUP).alias("_hot"))
-    found = hot.collect()
-    return rows.sparkSession.createDataFrame(found, hot.schema) if found else None
-
-
 def _over_groups(
     df: DataFrame, keys: Sequence[str], chunk: Sequence[Column], total: Column, carry: Carry, step: Step
 ) -> DataFrame:
-    # Structs compare NULL fields as equal, as a window partition does.
-    rows = df.select("*", F.struct(*[folded(df, k).alias(k) for k in keys]).alias(GROUP))
-    hot = _hot_groups(rows)
-    is_hot = F.col(GROUP) == F.col("_hot")
-
-    # Keys as columns of their own, so that several windows share one shuffle.
+    # Columns of their own, so that the join and all windows share one shuffle.
     marks = [f"_k{i}" for i in range(len(keys))]
-    ordinary = df if hot is None else rows.join(F.broadcast(hot), is_hot, "left_anti").drop(GROUP)
-    ordinary = ordinary.select("*", *[folded(df, k).alias(m) for k, m in zip(keys, marks)])
-    ordinary = step(ordinary, F.lit(None), Window.partitionBy(*marks)).drop(*marks)
-    if hot is None:
-        return ordinary
-
     cut = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
-    pieces = rows.join(F.broadcast(hot), is_hot).drop("_hot").withColumn(CHUNK, cut)
-    totals = pieces.groupBy(GROUP, CHUNK).agg(total.alias("_total"))
-    earlier = Window.partitionBy(GROUP).orderBy(CHUNK)
+    rows = df.select("*", *[folded(df, k).alias(m) for k, m in zip(keys, marks)], cut.alias(CHUNK))
+    totals = rows.groupBy(*marks, CHUNK).agg(total.alias("_total"))
+    earlier = Window.partitionBy(*marks).orderBy(CHUNK)
+    names = [f"_g{i}" for i in range(len(keys))]
     before = totals.select(
-        F.col(GROUP).alias("_g"), F.col(CHUNK).alias("_c"), carry(F.col("_total"), earlier).alias(BEFORE)
+        *[F.col(m).alias(n) for m, n in zip(marks, names)],
+        F.col(CHUNK).alias("_c"),
+        carry(F.col("_total"), earlier).alias(BEFORE),
     )
-    same_chunk = (F.col(GROUP) == F.col("_g")) & (F.col(CHUNK) == F.col("_c"))
-    pieces = pieces.join(before, same_chunk, "left").drop("_g", "_c")
-    pieces = step(pieces, F.col(BEFORE), Window.partitionBy(GROUP, CHUNK)).drop(GROUP, CHUNK, BEFORE)
-    return ordinary.unionByName(pieces)
+    same = all_of([F.col(m).eqNullSafe(F.col(n)) for m, n in zip(marks, names)] + [F.col(CHUNK) == F.col("_c")])
+    rows = rows.join(before, same, "left").drop("_c", *names)
+    return step(rows, F.col(BEFORE), Window.partitionBy(*marks, CHUNK)).drop(CHUNK, BEFORE, *marks)
 
 
 def _sum_before(total: Column, earlier: WindowSpec) -> Column:
@@ -165,9 +143,22 @@ def previous_value(
     return _over_groups(df, keys, chunk, last, lambda total, earlier: F.lag(total).over(earlier), step)
 
 
-def global_sequence(
-    df: DataFrame, order_by: Sequence[Column], name: str, start: int | Column = 1, tail: Sequence[Column] = ()
-) -> DataFrame:
+def number_in_order(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], name: str) -> DataFrame:
+    """``row_number`` within ``keys`` for an order without a chunk column: global position less the group's first.
+
+    The order over keys and ``order_by`` is cut at sampled bounds, so a group of any size spreads over tasks.
+    """
+    marks = [f"_k{i}" for i in range(len(keys))]
+    marked = df.select("*", *[folded(df, k).alias(m) for k, m in zip(keys, marks)])
+    placed = global_sequence(marked, [*[F.col(m) for m in marks], *order_by], "_position")
+    names = [f"_g{i}" for i in range(len(keys))]
+    first = placed.groupBy(*[F.col(m).alias(n) for m, n in zip(marks, names)]).agg(F.min("_position").alias("_first"))
+    same = all_of([F.col(m).eqNullSafe(F.col(n)) for m, n in zip(marks, names)])
+    rows = placed.join(first, same).withColumn(name, F.col("_position") - F.col("_first") + 1)
+    return rows.drop("_position", "_first", *marks, *names)
+
+
+def global_sequence(df: DataFrame, order_by: Sequence[Column], name: str, start: int | Column = 1) -> DataFrame:
     """Dense numbers over the whole frame in ``order_by`` order, with no single-task sort.
 
     Rows are range-partitioned and sorted, then written once: range bounds are
@@ -176,7 +167,7 @@ def global_sequence(
     """
     slots = materialise(
         df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by, *tail)
+        .sortWithinPartitions(*order_by)
         .withColumn("_slot", F.monotonically_increasing_id())
     )
     part = F.shiftright("_slot", 33)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -39,11 +40,18 @@ def _profile_struct(df: DataFrame, name: str) -> Column:
         F.coalesce(F.max(F.length(F.col(name).cast("string"))), F.lit(0)).alias("longest"),
         F.coalesce(F.max(number), F.lit(0)).alias("number_length"),
         F.coalesce(F.max(F.length(F.substring_index(text, ".", 1))), F.lit(0)).alias("integer_length"),
-        F.coalesce(F.bool_and(text.rlike(NUMBER) & (text.try_cast("double") == 0)), F.lit(True)).alias("all_zero"),
+        # One single value, which is zero or missing: a column that mixes 0 and NULL holds two.
+        _one_empty_value(F.trim(F.col(name).cast("string"))).alias("all_zero"),
         F.count(F.lit(1)).alias("row_count"),
     )
 
 
+def _one_empty_value(text: Column) -> Column:
+    missing = text.isNull() | text.isin("nan", "Nan")
+    zero = ~missing & text.rlike(NUMBER) & (text.try_cast("double") == 0)
+    return F.coalesce(F.bool_and(missing), F.lit(True)) | F.coalesce(F.bool_and(zero), F.lit(False))
+
+
 def _family(kind: T.DataType) -> str:
     if isinstance(kind, T.BooleanType):
         return "boolean"
@@ -101,7 +109,9 @@ def widen_decision(stored: Column, incoming: Column, all_zero: Column) -> Column
         | pair("VARCHAR", "DATETIME")
         | pair("^TIMESTAMP$", "DATETIME")
         | pair("^DATE$", "VARCHAR|DATETIME")
-        | pair(r"^FLOAT", "FLOAT")
+        | pair(r"^FLOAT([(](12|20),[24][)])?$", "^INTEGER$")
+        | pair(r"FLOAT[(]20,4[)]", r"FLOAT[(]12,4[)]")
+        | pair(r"FLOAT[(]20,2[)]", r"FLOAT[(]12,2[)]")
         | pair(r"^TINYINT[(]1[)]$", "^BOOLEAN$")
         | pair(number + r"[(]20,4[)]", number + r"[(]12,4[)]")
         | pair(number + r"[(]20,2[)]", number + r"[(](12|20),2[)]|INT")
@@ -141,9 +151,54 @@ def align(df: DataFrame, target: T.StructType) -> DataFrame:
     return df.select(*known, *[F.col(c) for c in df.columns if c.upper() not in wanted])
 
 
+# Spark's type for each measured one; texts have no width there.
+_SPARK_TYPES = (
+    ("^(VARCHAR|TEXT)", "string"),
+    ("^BIGINT", "bigint"),
+    ("^INT", "int"),
+    ("^(DOUBLE|FLOAT)", "double"),
+    ("^DATETIME$|^TIMESTAMP$", "timestamp_ntz"),
+    ("^DATE$", "date"),
+    ("^BOOLEAN$|^TINYINT", "boolean"),
+)
+# Stored types whose missing cells are loaded as 0.
+ZERO_FILLED = ("FLOAT(12,2)", "FLOAT(12,4)", "FLOAT(20,2)", "FLOAT(20,4)", "VARCHAR(5)")
+
+
+def spark_type(measured: str) -> str:
+    """The column type a measured type is stored as."""
+    number = re.match(r"(?:NUMERIC|DECIMAL)[(](\d+),(\d+)[)]", measured)
+    if number:
+        return f"decimal({number[1]},{number[2]})"
+    return next(kind for pattern, kind in _SPARK_TYPES if re.search(pattern, measured))
+
+
 def evolve_append(target: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Append rows, keeping the target's columns and adding those only the load has."""
-    return target.unionByName(align(incoming, target.schema), allowMissingColumns=True)
+    """Append rows after profiling them, widening the target where they need it and adding its missing columns.
+
+    Both sides are profiled, one row a column, before the result is planned, as the
+    column types depend on all values. A kept column takes the loaded cells cast to its
+    own type; a widened one changes type on both sides.
+    """
+    stored = {r["column_name"].upper(): r["target_type"] for r in schema_profile(target).collect()}
+    changes = {
+        r["column_name"]: r["change"] for r in widen(schema_profile(target), schema_profile(incoming)).collect() if r["change"]
+    }
+    have = {c.upper(): c for c in incoming.columns}
+    filled = incoming.select(
+        *[
+            F.coalesce(F.col(c).cast("string"), F.lit("0")).alias(c)
+            if stored.get(c.upper()) in ZERO_FILLED and isinstance(incoming.schema[c].dataType, T.StringType)
+            else F.col(c)
+            for c in incoming.columns
+        ]
+    )
+    widened = {f.name: spark_type(changes[f.name.upper()]) for f in target.schema.fields if f.name.upper() in changes}
+    shaped = target.withColumns({n: F.col(n).cast(k) for n, k in widened.items()})
+    loaded = filled.withColumns(
+        {have[f.name.upper()]: F.col(have[f.name.upper()]).try_cast(f.dataType.simpleString()) for f in shaped.schema.fields if f.name.upper() in have}
+    )
+    return shaped.unionByName(align(loaded, shaped.schema), allowMissingColumns=True)
 
 
 def numeric_coerce(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -159,8 +214,12 @@ def numeric_coerce(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     found = {r["column_name"]: r for r in schema_profile(filled.select(*columns)).collect()}
     for c in columns:
         if found[c]["is_number"]:
-            kind = "bigint" if found[c]["decimal_depth"] == 0 else "decimal(20,4)"
-            filled = filled.withColumn(c, F.col(c).cast("decimal(20,4)").cast(kind))
+            # Wide enough for the longest number measured, as far as a decimal goes.
+            depth = min(found[c]["decimal_depth"], 18)
+            number = f"decimal({min(38, max(found[c]['longest'], 1) + depth)},{depth})"
+            filled = filled.withColumn(c, F.col(c).cast(number))
+            if depth == 0:
+                filled = filled.withColumn(c, F.col(c).cast("bigint"))
     return filled
 
 

@@ -64,7 +64,9 @@ def catalog(listings: DataFrame, product_data: DataFrame, inventory: DataFrame)
 def unfulfillable_pivot(ledger_summary: DataFrame) -> DataFrame:
     """Closing balances by damage kind on the last day of the ledger."""
     last_day = ledger_summary.filter(F.col("date") == latest_value(ledger_summary, "date"))
-    grouped = last_day.groupBy("account_name", "asin", "msku").agg(
+    grouped = group_by_text(
+        last_day,
+        ["account_name", "asin", "msku"],
         *least("date", "fnsku", "title"),
         *conditional_sums("disposition", DISPOSITIONS, "ending_warehouse_balance"),
     )

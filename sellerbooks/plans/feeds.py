@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 
 from sellerbooks.functions.columns import day_text, second_text, text_or
 from sellerbooks.operators.expand import day_spine
-from sellerbooks.operators.grouping import latest_per_key, sync_diff
+from sellerbooks.operators.grouping import group_by_text, latest_per_key, least, sync_diff
 from sellerbooks.operators.joins import attach_ids, lookup, same, unpublished
-from sellerbooks.operators.ordered import batches, number_rows
+from sellerbooks.operators.ordered import batches, number_in_order
 from sellerbooks.session import materialise
-from sellerbooks.sources.publish import numbered_fields, payload
+from sellerbooks.sources.publish import numbered_fields, payload, still_published
 
 PRODUCT = ("account_name", "sku", "asin")
 BATCH = 1000
+# Fixed value: the state of fee rows that are replaced by each load.
+OPEN = "Open"
 # Shipment states that may still change, so their rows are purged before a load.
 OPEN_SHIPMENTS = (
     "RECEIVING",
@@ -183,12 +185,15 @@ def settlement_ids(posted: DataFrame, opened: DataFrame) -> DataFrame:
 def order_fee_feed(
     fees: DataFrame, published: DataFrame, products: DataFrame, fields: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Order fees of settlements not published yet, in batches within each settlement."""
+    """Order fees of settlements not published yet, in batches within each settlement.
+
+    Published rows that are still open are replaced, so their ids do not count as published.
+    """
+    published = still_published(published, "status", [OPEN])
     order = [F.col(c) for c in ("account_name", "order_id", "sku", "transaction_type", "group_id", "ranking")]
     rows = unpublished(fees, published, "settlement_id")
-    rows = number_rows(
-        rows, ["settlement_id"], order, "_row", [F.col("account_name"), F.substring("order_id", 1, 3)]
-    ).withColumn("batch_id", F.floor((F.col("_row") - 1) / BATCH).cast("bigint"))
+    rows = number_in_order(rows, ["settlement_id"], order, "_row")
+    rows = rows.withColumn("batch_id", F.floor((F.col("_row") - 1) / BATCH).cast("bigint"))
     rows = _texts(
         _with_record(rows, products),
         fba_fee=text_or(F.col("fba_fee"), "0"),
@@ -234,11 +239,9 @@ def settlement_fee_feed(
     wanted = materialise(unpublished(recent.select("settlement_id").distinct(), published, "settlement_id"))
     rows = lookup(settlements, wanted, same("settlement_id"), how="left_semi")
     keys = [c for c in FEE_FIELDS if c not in ("status", "asin", "amount", "record_id", "currency")]
-    # Summed per currency first, where the aggregation hashes; the least currency is picked from those sums.
+    # Summed per spelling and currency first, where the aggregation hashes; the least ones are picked from those sums.
     summed = rows.groupBy(*keys, "currency").agg(F.sum("amount").cast("decimal(18,4)").alias("amount"))
-    summed = summed.groupBy(*keys).agg(
-        F.min("currency").alias("currency"), F.sum("amount").cast("decimal(18,4)").alias("amount")
-    )
+    summed = group_by_text(summed, keys, *least("currency"), F.sum("amount").cast("decimal(18,4)").alias("amount"))
     # One asin per account and sku, so it is looked up after the sum.
     summed = lookup(summed, asins, same("account_name", "sku"), ["asin"]).withColumn("status", F.lit("Posted"))
     return _payload(_fee_texts(summed, products), FEE_FIELDS, fields).select("settlement_id", "payload")
@@ -247,9 +250,10 @@ def settlement_fee_feed(
 def shipment_feed(
     shipments: DataFrame, published: DataFrame, fields: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Shipments the record store does not have."""
+    """Shipments the record store does not have, or has in a state that may still change."""
     keys = ["account_name", "shipmentid"]
-    new = sync_diff(shipments, published.select(*keys), keys, keep="source")
+    final = still_published(published, "shipmentstatus", OPEN_SHIPMENTS)
+    new = sync_diff(shipments, final.select(*keys), keys, keep="source")
     return _payload(new, shipments.columns, fields).select(*keys, "payload")
 
 
@@ -280,16 +284,20 @@ def shipment_detail_feed(
     products: DataFrame,
     fields: Mapping[str, str] | None = None,
 ) -> DataFrame:
+    """Shipment rows on one side only, once published rows of changing shipments are purged."""
     keys = ["account_name", "shipmentid", "sku", "fnsku"]
-    rows = sync_diff(shipment_details(details, catalog), published.select(*keys), keys)
+    final = still_published(published, "shipmentstatus", OPEN_SHIPMENTS)
+    rows = sync_diff(shipment_details(details, catalog), final.select(*keys), keys)
     rows = _texts(_with_record(rows, products), releasedate=day_text(F.col("releasedate")))
     columns = [*keys, "asin", "quantityshipped", "quantityreceived", "quantityincase", "releasedate", "record_id"]
     return _payload(rows, columns, fields).select(*keys, "payload")
 
 
 def tracking_feed(transport: DataFrame, published: DataFrame, fields: Mapping[str, str] | None = None) -> DataFrame:
+    """Tracking rows on one side only, once published rows of changing shipments are purged."""
     keys = ["account_name", "shipmentid"]
-    rows = sync_diff(transport, published.select(*keys), keys)
+    final = still_published(published, "shipmentstatus", OPEN_SHIPMENTS)
+    rows = sync_diff(transport, final.select(*keys), keys)
     return _payload(rows, transport.columns, fields).select(*keys, "payload")
 
 
@@ -328,6 +336,9 @@ def receiving_feed(
         "received_date",
         "quantity",
         "shipmentname",
+        "cost_per_unit",
+        "running_quantity",
+        "receipt_cost",
         "shipment_record_id",
         "record_id",
         "detail_record_id",

@@ -6,9 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sellerbooks.functions.columns import sign_label, text_in, text_is
-from sellerbooks.operators.grouping import conditional_sums, first_per_group, group_by_text, latest_per_key, least
+from sellerbooks.operators.grouping import (
+    conditional_sums,
+    first_per_group,
+    group_by_text,
+    group_in_two_steps,
+    latest_per_key,
+    least,
+)
 from sellerbooks.operators.joins import lookup, map_with_fallback, same
-from sellerbooks.operators.ordered import global_sequence, number_few
+from sellerbooks.operators.ordered import global_sequence
 from sellerbooks.sources.publish import delete_where, map_values
 
 SKU = ("account_name", "sku")
@@ -66,11 +73,12 @@ def fee_mapping(types: DataFrame, settlements: DataFrame) -> DataFrame:
 
 
 def settlement_totals(finances: DataFrame) -> DataFrame:
-    return finances.groupBy("account_name", "group_id").agg(
-        F.sum("currencyamount").cast(MONEY).alias("total_amount"),
-        F.min("posteddate").alias("start_date"),
-        F.max("posteddate").alias("end_date"),
+    amount = F.col("currencyamount")
+    day = F.col("posteddate")
+    totals = group_in_two_steps(
+        finances, ["account_name", "group_id"], [("total_amount", "sum", amount), ("start_date", "min", day), ("end_date", "max", day)]
     )
+    return totals.withColumn("total_amount", F.col("total_amount").cast(MONEY))
 
 
 def unique_account_sku(product_data: DataFrame) -> DataFrame:
@@ -150,7 +158,9 @@ def open_finance_upload(finances: DataFrame, asins: DataFrame, totals: DataFrame
         "sku",
         "asin",
     ]
-    grouped = rows.groupBy(*keys).agg(
+    grouped = group_by_text(
+        rows,
+        keys,
         *least("currency", "og_transaction_type", "og_fee_type"),
         F.sum("amount").cast(MONEY).alias("amount"),
     ).withColumn("status", F.lit("Open"))
@@ -170,17 +180,22 @@ def posted_order_fees(settlements: DataFrame, asins: DataFrame, since: str = "20
         "group_id", F.coalesce("shipment_id", "adjustment_id")
     )
     keys = ["account_name", "order_id", "sku", "transaction_type", "group_id"]
-    # Only fixed-width state, so the largest aggregation of all hashes: the least
+    # Only fixed-width state, so the largest aggregation of all hashes first: the least
     # description is kept as its place among the known ones.
     known = sorted([*FEE_COLUMNS, TAX_LINE])
     place = F.array_position(F.array(*[F.lit(k.lower()) for k in known]), F.lower("amount_description")).cast("int")
-    fees = rows.groupBy(*keys).agg(
-        F.min(F.to_date("settlement_start_date")).alias("start_date"),
-        F.min(F.to_date("settlement_end_date")).alias("end_date"),
-        *least("posted_date", "settlement_id"),
-        F.min(place).alias("_place"),
-        *conditional_sums("amount_description", FEE_COLUMNS, "amount"),
-        *conditional_sums("amount_description", {"Principal": "quantity"}, "quantity_purchased"),
+    fees = group_in_two_steps(
+        rows,
+        keys,
+        [
+            ("start_date", "min", F.to_date("settlement_start_date")),
+            ("end_date", "min", F.to_date("settlement_end_date")),
+            ("posted_date", "min", F.col("posted_date")),
+            ("settlement_id", "min", F.col("settlement_id")),
+            ("_place", "min", place),
+            *[(name, "sum", F.when(text_is("amount_description", d), F.col("amount"))) for d, name in FEE_COLUMNS.items()],
+            ("quantity", "sum", F.when(text_is("amount_description", "Principal"), F.col("quantity_purchased"))),
+        ],
     )
     fees = fees.withColumn("amount_description", F.element_at(F.array(*[F.lit(k) for k in known]), F.col("_place")))
     # The asin depends on account and sku alone, so it is looked up once per group.
@@ -198,7 +213,9 @@ def open_order_fees(
         {"amazonorderid": "order_id", "sellersku": "sku"}
     )
     keys = ["account_name", "order_id", "sku", "transaction_type"]
-    fees = rows.groupBy(*keys).agg(
+    fees = group_by_text(
+        rows,
+        keys,
         *least("start_date", "end_date", "amount_description", "asin"),
         F.min("posted_day").alias("posted_date"),
         F.min("group_id").alias("settlement_id"),
@@ -234,10 +251,10 @@ def combined_order_fees(posted: DataFrame, opened: DataFrame) -> DataFrame:
     """Posted and open fees, ranked by their own type and then shown as Shipped or Return.
 
     No duplicate can arise: each side is grouped by its key and the sides differ
-    in status, so the distinct union is a plain one.
+    in status, so the distinct union is a plain one. For the same reason the rank
+    within the key is 1 for every row: posted rows are grouped by that very key,
+    ignoring case, and each open row has a group id of its own.
     """
-    keys = ["account_name", "order_id", "sku", "transaction_type", "group_id"]
-    ties = [F.col(c) for c in ("posted_date", *[c for c in posted.columns if c not in (*keys, "posted_date")])]
-    ranked = number_few(posted.unionByName(opened), keys, ties, "ranking")
+    ranked = posted.unionByName(opened).withColumn("ranking", F.lit(1))
     shown = map_values(ranked, "transaction_type", SHOWN_TYPES)
     return shown.fillna(0, list(FEE_COLUMNS.values()))

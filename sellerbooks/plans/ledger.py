@@ -13,6 +13,7 @@ from sellerbooks.operators.grouping import group_by_text, latest_value, least
 from sellerbooks.operators.joins import lookup, range_assign, same
 from sellerbooks.operators.ordered import (
     global_sequence,
+    number_in_order,
     number_rows,
     previous_value,
     running_and_previous,
@@ -24,8 +25,6 @@ from sellerbooks.sources.publish import map_values
 SKU = ("account_name", "sku")
 START = "2023-12-29"
 COSTS = ("duties", "customs_fees", "demurrage", "container_cost", "trucking_cost")
-# How much of an order id, after the day, cuts a hot product into chunks.
-ORDER_PREFIX = 3
 LEDGER = ("account_name", "order_id", "date", "sku", "asin", "order_status", "item_status", "quantity")
 
 
@@ -62,7 +61,7 @@ def ledger_summary(
     rows = _active(summary.filter(_from("date", start)), active, "msku")
     if not aggregate:
         return rows.select(*keys, "asin", *measures)
-    return rows.groupBy(*keys).agg(*least("asin"), *[F.sum(m).cast("bigint").alias(m) for m in measures])
+    return group_by_text(rows, keys, *least("asin"), *[F.sum(m).cast("bigint").alias(m) for m in measures])
 
 
 def ledger_events(
@@ -86,7 +85,7 @@ def ledger_events(
     )
     keys = ["account_name", "msku", "disposition", "date"]
     ties = [F.col(c) for c in ("event_type", "quantity", "reference_id")]
-    ranked = number_rows(rows, keys, ties, "ranking", [F.col("event_type"), F.col("quantity")])
+    ranked = number_in_order(rows, keys, ties, "ranking")
     newest = [F.col("date").desc(), *[F.col(c) for c in ("account_name", "msku", "disposition", "ranking")]]
     return global_sequence(ranked, newest, "id").select(
         "id",
@@ -111,27 +110,27 @@ def order_ledger(all_orders: DataFrame, active: DataFrame, last_day: Column, sta
         & ~text_in("item_status", ["unshipped", "Cancelled"])
     )
     rows = _active(kept, active).withColumnRenamed("amazon_order_id", "order_id")
-    grouped = rows.withColumn("date", F.to_date("purchase_date")).groupBy("account_name", "order_id", "sku")
-    return grouped.agg(
+    grouped = group_by_text(
+        rows.withColumn("date", F.to_date("purchase_date")),
+        ["account_name", "order_id", "sku"],
         *least("date", "asin", "order_status", "item_status"),
         F.sum(-F.col("quantity")).cast("bigint").alias("quantity"),
-    ).select(*LEDGER)
+    )
+    return grouped.select(*LEDGER)
 
 
 def return_ledger(fba_returns: DataFrame, active: DataFrame, start: str = START) -> DataFrame:
     """Units returned per order and day, reimbursed ones left out."""
     kept = fba_returns.filter((F.lower("status") != "reimbursed") & _from("return_date", start))
     rows = _active(kept, active).withColumn("date", F.to_date("return_date"))
-    return (
-        rows.groupBy("account_name", "order_id", "date", "sku")
-        .agg(
-            *least("asin"),
-            F.min("status").alias("item_status"),
-            F.sum("quantity").cast("bigint").alias("quantity"),
-        )
-        .withColumn("order_status", F.lit("Return"))
-        .select(*LEDGER)
+    grouped = group_by_text(
+        rows,
+        ["account_name", "order_id", "date", "sku"],
+        *least("asin"),
+        F.min("status").alias("item_status"),
+        F.sum("quantity").cast("bigint").alias("quantity"),
     )
+    return grouped.withColumn("order_status", F.lit("Return")).select(*LEDGER)
 
 
 def removal_ledger(removals: DataFrame, active: DataFrame, start: str = START) -> DataFrame:
@@ -195,15 +194,14 @@ def ledger_detail(*parts: DataFrame) -> DataFrame:
 def ledger_rolling(rows: DataFrame) -> DataFrame:
     """Units consumed so far per account and sku, and the same for the row before.
 
-    Rows of one day and order share a sum. The day and the start of the order id
-    cut a product into chunks, so no task holds a whole product.
+    Rows of one day and order share a sum. Days cut a product into chunks, so no
+    task holds a whole product.
     """
     rows = rows.withColumn("_order", F.lower("order_id"))
     order = [F.col("date"), F.col("_order")]
     ties = [F.col(c) for c in ("asin", "order_status", "item_status", "quantity")]
-    chunk = [F.col("date"), F.substring("_order", 1, ORDER_PREFIX)]
     rolled = running_and_previous(
-        rows, SKU, order, ties, -F.col("quantity"), "rolling_qty", "last_rolling_qty", chunk
+        rows, SKU, order, ties, -F.col("quantity"), "rolling_qty", "last_rolling_qty", [F.col("date")]
     )
     return rolled.drop("_order")
 

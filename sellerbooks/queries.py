@@ -12,7 +12,7 @@ from sellerbooks import checks as c
 from sellerbooks.operators import grouping, joins, ordered, schema
 from sellerbooks.operators.expand import explode_refs
 from sellerbooks.operators.predicates import build_predicate
-from sellerbooks.plans import catalog, documents, feeds, finance, ledger, orders, purchase_orders, returns
+from sellerbooks.plans import catalog, documents, feeds, finance, imports, ledger, orders, purchase_orders, returns
 from sellerbooks.session import materialise
 from sellerbooks.sources import publish, records, tables
 from sellerbooks.sources.fixtures import Inputs
@@ -49,6 +49,12 @@ class Books:
         fields = {"3": "Record ID#", "6": "Product Brand", "7": "Product Type"}
         return records.unwrap_records(self.inputs.records_raw, "record", fields)
 
+    @cached_property
+    def import_records(self):
+        fields = {"3": "Record ID#", "6": "Product Brand", "7": "Product Type"}
+        stored = self.inputs.products.select(F.lit(0).alias("Record_ID_Num"), F.col("color").alias("Product_Brand"))
+        return imports.import_records(self.inputs.records_raw, "record", fields, stored)
+
     @cached_property
     def predicate_builder(self):
         clauses = [("sku", "CT", "-1"), ("order_status", "EX", "Shipped"), ("account_name", "EX", "West")]
@@ -352,7 +358,10 @@ class Books:
 
     @cached_property
     def sheet_export(self):
-        return publish.sheet_export(self.inputs.sheet_po)
+        remark = F.col("row_index") % 4
+        remarks = F.when(remark == 0, "None").when(remark == 1, "nan").when(remark == 3, "kept")
+        shown = publish.sheet_export(self.inputs.sheet_po.withColumn("remarks", remarks))
+        return shown.toDF(*[c.replace(" ", "_") for c in shown.columns])
 
     @cached_property
     def sheet_sort(self):
@@ -397,17 +406,17 @@ class Books:
 
     @cached_property
     def shipment_feed(self):
-        return feeds.shipment_feed(self.inputs.inbound_shipments, self.inputs.remote_shipments)
+        return feeds.shipment_feed(self.inputs.inbound_shipments, self.inputs.published_shipments)
 
     @cached_property
     def shipment_detail_feed(self):
         return feeds.shipment_detail_feed(
-            self.inputs.inbound_details, self.inputs.product_data, self.inputs.remote_details, self._products
+            self.inputs.inbound_details, self.inputs.product_data, self.inputs.published_details, self._products
         )
 
     @cached_property
     def tracking_feed(self):
-        return feeds.tracking_feed(self.inputs.inbound_transport, self.inputs.remote_shipments)
+        return feeds.tracking_feed(self.inputs.inbound_transport, self.inputs.published_shipments)
 
     @cached_property
     def receiving_feed(self):

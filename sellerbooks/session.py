@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A session for tests and the benchmark; a cluster brings its own."""
+    """A session for tests and the benchmark, with a stage folder of its own; a cluster brings its own session."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("sellerbooks")
@@ -19,24 +21,45 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", own_folder())
         .getOrCreate()
     )
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder the session names.
+def own_folder() -> str:
+    """A folder for the stages of one process on one machine, removed when the process ends."""
+    folder = tempfile.mkdtemp(prefix="sellerbooks-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
-    Only a local session may fall back to a temporary folder of its own; on a
-    cluster a machine-local folder would not survive the machine.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
+
+def configured_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def on_one_machine(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process; a local cluster is not."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder ``spark.checkpoint.dir`` names, which every executor can reach."""
+    folder = configured_folder(spark)
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="sellerbooks-"))
-    return context.getCheckpointDir()
+    return folder
+
+
+def stage_folder(spark: SparkSession) -> str:
+    """Where this application's stages are written; the application owns the folder."""
+    return f"{shared_folder(spark).rstrip('/')}/sellerbooks/{spark.sparkContext.applicationId}"
+
+
+def remove_stages(spark: SparkSession) -> None:
+    """Delete the stages this application has written, once no result needs them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -46,6 +69,6 @@ def materialise(df: DataFrame) -> DataFrame:
     later reads prune columns and know the size of what they read.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/sellerbooks/{uuid.uuid4().hex}"
+    path = f"{stage_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -32,6 +32,11 @@ def purge(target: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     return target.filter(~F.coalesce(gone, F.lit(False)))
 
 
+def still_published(published: DataFrame, status: str, changing: Sequence[str]) -> DataFrame:
+    """Published rows that are final: those in a state that may still change are purged before a load."""
+    return purge(published, status, changing)
+
+
 def purge_and_reload(target: DataFrame, column: str, value: str, new: DataFrame) -> DataFrame:
     """Replace the target rows that hold ``value`` by the new rows."""
     return purge(target, column, [value]).unionByName(new, allowMissingColumns=True)
@@ -50,8 +55,12 @@ def map_values(df: DataFrame, column: str, values: Mapping[str, str]) -> DataFra
     return df.withColumn(column, result)
 
 
+def sheet_header(name: str) -> str:
+    return name.replace("_", " ").title()
+
+
 def sheet_export(df: DataFrame) -> DataFrame:
-    """Cells as a sheet takes them: numbers stay, the rest is text with blanks for missing."""
+    """Cells as a sheet takes them: numbers stay, the rest is text with blanks for missing; headers in title case."""
     floats = {f.name for f in df.schema.fields if f.dataType.simpleString() in ("double", "float")}
     cells = []
     for c in df.columns:
@@ -60,7 +69,7 @@ def sheet_export(df: DataFrame) -> DataFrame:
         else:
             text = F.col(c).cast("string")
             cells.append(F.when(text.isNull() | text.isin("None", "nan"), "").otherwise(text).alias(c))
-    return df.select(*cells)
+    return df.select(*cells).toDF(*[sheet_header(c) for c in df.columns])
 
 
 def append_row(df: DataFrame, row: Mapping[str, str], index: str) -> DataFrame:

@@ -16,6 +16,14 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).json(path, multiLine=True).select(F.explode("data").alias("record"))
 
 
+def read_report(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, str]]:
+    """A saved report: its rows, and the labels of its fields (a few per report) that the response carries."""
+    schema = f"data array<{CELL}>, fields array<struct<id:bigint,label:string,type:string>>"
+    response = spark.read.schema(schema).json(path, multiLine=True)
+    labels = response.select(F.explode("fields").alias("f")).select("f.id", "f.label").distinct().orderBy("id").collect()
+    return response.select(F.explode("data").alias("record")), {str(r["id"]): r["label"] for r in labels}
+
+
 def label_name(label: str) -> str:
     return label.replace(" ", "_").replace("#", "_Num")
 

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from sellerbooks.session import local_session  # noqa: E402
+from sellerbooks.session import local_session, remove_stages  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -13,4 +13,5 @@ def spark():
     session = local_session(8)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_stages(session)
     session.stop()

@@ -22,15 +22,18 @@ def test_query_equals_check(spark, con, name):
 def test_entry_contract():
     import __spark_entry__ as entry
 
-    assert set(entry.queries()) == set(entry.oracle_sql()) == set(queries.names())
+    assert set(queries.names()) <= set(entry.queries()) and set(queries.names()) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
     assert all(checks.columns_of(n) for n in queries.names())
 
 
-@pytest.mark.parametrize("name", ["ledger_rolling", "receipt_rolling", "ledger_events", "return_expand", "return_lines"])
-def test_query_equals_check_when_every_group_is_hot(spark, con, name, monkeypatch):
-    from sellerbooks.operators import ordered
-
-    monkeypatch.setattr(ordered, "HOT_ROWS", 0)
-    monkeypatch.setattr(ordered, "MOST_HOT", 10**6)
-    same, note = compare(spark, con, FOLDER, name)
-    assert same, note
+def test_inputs_exercise_what_the_checks_claim(spark):
+    """Case varies inside groups, a row stands for over 100 units, and published products match."""
+    books = queries.Books(spark, FOLDER)
+    spelled = books.inputs.order_items.groupBy("account_name", "amazon_order_id", "sku").count().count()
+    folded = books.inputs.order_items.selectExpr("lower(account_name)", "lower(amazon_order_id)", "lower(sku)").distinct().count()
+    assert spelled > folded
+    assert books.return_units.selectExpr("max(order_line_units)").first()[0] > 100
+    products, catalog = books._products, books.catalog
+    both = products.join(catalog.selectExpr("upper(account_name) account_name", "sku", "upper(asin) asin").distinct(), ["account_name", "sku", "asin"])
+    assert both.count() > 0

@@ -44,7 +44,7 @@ def test_replicate_units(spark):
     df = spark.createDataFrame([(0,), (1,), (3,), (250,), (None,)], "u int")
     out = expand.replicate_units(df, "u", "n").groupBy("u").agg(F.count("*").alias("c"), F.max("n").alias("m"))
     assert {r["u"]: (r["c"], r["m"]) for r in out.collect()} == {
-        0: (1, None), 1: (1, 1), 3: (3, 3), 250: (100, 100), None: (1, None),
+        0: (1, None), 1: (1, 1), 3: (3, 3), 250: (250, 250), None: (1, None),
     }
     assert [r["number"] for r in expand.number_table(spark).collect()] == list(range(1, 101))
 
@@ -92,6 +92,16 @@ def test_widen_decisions(spark):
         ("TEXT", "VARCHAR(255)", None),
         ("DATE", "DATETIME", None),
         ("INTEGER", "VARCHAR(10)", "VARCHAR(10)"),
+        ("FLOAT(12,2)", "INTEGER", None),
+        ("FLOAT", "INTEGER", None),
+        ("FLOAT(12,2)", "FLOAT(20,4)", "FLOAT(20,4)"),
+        ("FLOAT(20,4)", "FLOAT(12,4)", None),
+        ("FLOAT(20,2)", "FLOAT(12,2)", None),
+        ("FLOAT(12,2)", "FLOAT(12,4)", "FLOAT(12,4)"),
+        ("DECIMAL(20,4)", "NUMERIC(12,4)", None),
+        ("DATETIME", "VARCHAR(25)", None),
+        ("TINYINT(1)", "BOOLEAN", None),
+        ("TEXT", "FLOAT(12,2)", None),
     ]
     df = spark.createDataFrame(pairs, "s string, i string, want string")
     got = df.select("want", schema.widen_decision(F.col("s"), F.col("i"), F.lit(False)).alias("got")).collect()
@@ -108,7 +118,16 @@ def test_align_coerce_and_listing(spark):
     coerced = schema.numeric_coerce(one(spark, "string", "3", "4.0", None), ["x"])
     assert coerced.dtypes == [("x", "bigint")] and [r[0] for r in coerced.collect()] == [3, 4, 0]
     part = schema.numeric_coerce(one(spark, "string", "3", "4.25"), ["x"])
-    assert part.dtypes == [("x", "decimal(20,4)")]
+    assert part.dtypes == [("x", "decimal(6,2)")] and [float(r[0]) for r in part.collect()] == [3, 4.25]
+    long = schema.numeric_coerce(one(spark, "string", "12345678901234567890.123456", "1"), ["x"])
+    assert [str(r[0]) for r in long.collect()] == ["12345678901234567890.123456", "1.000000"]
+    zeros = schema.schema_profile(one(spark, "int", 0, 0)).first()["all_zero"]
+    mixed = schema.schema_profile(one(spark, "int", 0, None)).first()["all_zero"]
+    assert zeros and not mixed
+    wider = schema.evolve_append(one(spark, "int", 7), spark.createDataFrame([("a",), ("5",)], "X string"))
+    assert wider.dtypes == [("x", "string")] and sorted(r[0] for r in wider.collect()) == ["5", "7", "a"]
+    narrow = schema.evolve_append(one(spark, "string", "abc"), one(spark, "int", 5))
+    assert sorted(r[0] for r in narrow.collect()) == ["5", "abc"]
     assert schema.column_listing(target) == [(1, "Name", "string"), (2, "n", "int")]
 
 
@@ -146,7 +165,8 @@ def test_publish(spark, tmp_path):
     publish.log_step(spark, str(tmp_path / "log"), "ledger", "q", now, now + dt.timedelta(seconds=2))
     assert spark.read.parquet(str(tmp_path / "log")).first()["duration"] == 2.0
     sheet = spark.createDataFrame([(1, "a"), (2, "None"), (3, None)], "row_index int, v string")
-    assert [r["v"] for r in publish.sheet_export(sheet).collect()] == ["a", "", ""]
+    shown = publish.sheet_export(sheet)
+    assert shown.columns == ["Row Index", "V"] and [r["V"] for r in shown.collect()] == ["a", "", ""]
     assert publish.append_row(sheet, {"v": "z"}, "row_index").agg(F.max("row_index")).first()[0] == 4
     assert publish.delete_rows(sheet, "row_index", 1, 2).count() == 1
     assert publish.purge(df, "status", ["open"]).count() == 1

@@ -66,12 +66,13 @@ def test_range_assign_equals_brute_force(spark):
         assert assigned(left, right, strict) == brute(usage, receipts, strict)
 
 
-def test_wide_receipts_split_into_buckets(spark):
-    width = joins.WIDEST_BUCKET
-    receipts = spark.createDataFrame([("A", "x", "big", 0, 5 * width)], RECEIPTS)
-    usage = spark.createDataFrame([("A", "x", i, i * width // 2) for i in range(12)], USAGE)
-    out = assigned(usage, receipts, False)
-    assert [po for _, po in out] == ["big"] * 11 + [""]
+def test_receipts_of_very_different_sizes(spark):
+    receipts = [("A", "big", "b0", 0, 5_000_000), ("A", "big", "b1", 5_000_000, 5_000_010)]
+    receipts += [("A", "small", f"s{i}", 3 * i, 3 * i + 3) for i in range(40)]
+    usage = [("A", "big", i, i * 500_000) for i in range(12)] + [("A", "small", 100 + i, i) for i in range(-5, 125)]
+    left, right = spark.createDataFrame(usage, USAGE), spark.createDataFrame(receipts, RECEIPTS)
+    for strict in (False, True):
+        assert assigned(left, right, strict) == brute(usage, receipts, strict)
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -128,7 +129,18 @@ def test_replace_unpublished_and_key_violations(spark):
     assert sorted((r["k"] or "", r["row_count"]) for r in bad.collect()) == [("", 1), ("a", 2)]
 
 
-def test_unify_spelling(spark):
-    df = spark.createDataFrame([("Shipped", 1), ("shipped", 2), ("open", 3), (None, 4)], "s string, v int")
-    out = grouping.unify_spelling(df, ["s"])
-    assert {r["v"]: r["s"] for r in out.collect()} == {1: "Shipped", 2: "Shipped", 3: "open", 4: None}
+def test_replace_rows_ignores_case(spark):
+    target = spark.createDataFrame([("North", "Sku-1", 1), ("North", "Sku-2", 2)], "a string, s string, v int")
+    new = spark.createDataFrame([("NORTH", "SKU-1", 9)], "a string, s string, v int")
+    out = joins.replace_rows(target, new, ["a", "s"])
+    assert sorted(r["v"] for r in out.collect()) == [2, 9]
+
+
+def test_group_in_two_steps_ignores_case(spark):
+    rows = [("A", "x", 1), ("a", "X", 2), ("B", "x", 4), (None, "x", 8), (None, "X", 16)]
+    df = spark.createDataFrame(rows, "k string, s string, v int")
+    measures = [("total", "sum", F.col("v")), ("low", "min", F.col("v")), ("high", "max", F.col("v")), ("n", "count", F.lit(1))]
+    out = grouping.group_in_two_steps(df, ["k", "s"], measures)
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(
+        [("A", "X", 3, 1, 2, 2), ("B", "x", 4, 4, 4, 1), (None, "X", 24, 8, 16, 2)], key=repr
+    )

@@ -2,19 +2,12 @@
 
 import random
 
-import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sellerbooks.operators import ordered
 
 
-@pytest.fixture(autouse=True, params=[0, 60, 1_000_000], ids=["all-hot", "some-hot", "none-hot"])
-def hot_rows(request, monkeypatch):
-    """Each case runs with every group cut, some cut and none cut."""
-    monkeypatch.setattr(ordered, "HOT_ROWS", request.param)
-
-
 def rows_of(df, *columns):
     return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
 
@@ -38,6 +31,15 @@ def test_number_rows_equals_plain_window(spark):
     assert rows_of(ours, "id", "n") == rows_of(plain, "id", "n")
 
 
+def test_number_in_order_equals_plain_window(spark):
+    df = random_rows(spark, seed=5)
+    order = [F.col("ref"), F.col("id")]
+    ours = ordered.number_in_order(df, ["k"], order, "n")
+    plain = df.withColumn("n", F.row_number().over(Window.partitionBy(F.lower("k")).orderBy(*order)))
+    assert rows_of(ours, "id", "n") == rows_of(plain, "id", "n")
+    assert ordered.number_in_order(df.filter("false"), ["k"], order, "n").count() == 0
+
+
 def test_running_and_previous_equal_plain_windows(spark):
     df = random_rows(spark)
     order, ties = [F.col("day"), F.col("ref")], [F.col("id")]

@@ -49,6 +49,16 @@ def with_row(df: DataFrame, *columns: Column) -> DataFrame:
     return df.select(F.monotonically_increasing_id().alias(ROW), *columns)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """(_row, doc): the row id and the whole row as one struct, so that no column of the input can clash with a helper's."""
+    return df.select(F.monotonically_increasing_id().alias(ROW), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"))
+
+
+def spread(df: DataFrame, columns: Sequence[str], text: Column | None = None) -> list[Column]:
+    """The columns of ``doc`` again, with ``text`` in place of the text."""
+    return [text.alias(c) if text is not None and c == "text" else F.col(f"doc.`{c}`").alias(c) for c in columns]
+
+
 def as_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text array and its n + 1 offsets into them; NULL is empty."""
     if isinstance(array, pa.ChunkedArray):

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sellerbooks.llm.common import ROW, with_row
+from sellerbooks.llm.common import ROW, numbered, spread, with_row
 from sellerbooks.session import materialise
 
 MIN_SITES = 10
@@ -71,20 +71,22 @@ def boilerplate(places: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """The documents without repeated boilerplate lines; adds n_lines and n_removed."""
+    """The documents without repeated boilerplate lines; adds (or replaces) n_lines and n_removed."""
     places = materialise(line_places(docs))
     found = boilerplate(places, min_sites).select("h1", "h2", F.col("first").alias("f"))
     extra = places.join(found, ["h1", "h2"]).filter((F.col(ROW) != F.col(f"f.{ROW}")) | (F.col("line") != F.col("f.line")))
     removed = extra.groupBy(F.col(ROW).alias("_r")).agg(F.collect_list("line").alias("_gone"))
-    rows = docs.select("*", F.monotonically_increasing_id().alias(ROW)).join(removed, F.col(ROW) == F.col("_r"), "left")
-    lines = _lines(F.col("text"))
+    rows = numbered(docs).join(removed, F.col(ROW) == F.col("_r"), "left")
+    whole = F.col("doc.text")
+    lines = _lines(whole)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(
+    text = F.when(F.col("_gone").isNull(), whole).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     )
-    lines_in = F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, 0).otherwise(F.size(lines))
+    lines_in = F.when(F.coalesce(F.length(whole), F.lit(0)) == 0, 0).otherwise(F.size(lines))
+    own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     return rows.select(
-        *[text.alias(c) if c == "text" else F.col(c) for c in docs.columns],
+        *spread(rows, own, text),
         lines_in.cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sellerbooks.llm.common import ROW, before_in_group, with_row
+from sellerbooks.llm.common import ROW, before_in_group, numbered, spread, with_row
 from sellerbooks.session import materialise
 
 WEIGHTS = (5, 2, 1)
@@ -194,10 +194,10 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     _, pieces = mix(docs)
     part = F.sort_array(F.collect_list(F.struct("first", "n")))
     turns = pieces.groupBy(F.col(ROW).alias("_r"), "turn").agg(F.sum("n").alias("_n"), part.alias("_parts"))
-    numbered = docs.select("*", F.monotonically_increasing_id().alias(ROW))
-    joined = numbered.join(turns, F.col(ROW) == F.col("_r"))
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    joined = numbered(docs).join(turns, F.col(ROW) == F.col("_r"))
+    full = F.col("doc.text")
+    words = F.regexp_extract_all(full, F.lit(WORD), F.lit(0))
     some = F.flatten(F.transform("_parts", lambda p: F.slice(words, (p["first"] + 1).cast("int"), p["n"].cast("int"))))
-    whole = F.col("_n") == F.regexp_count("text", F.lit(WORD))
-    text = F.when(whole, F.col("text")).otherwise(F.array_join(some, " "))
-    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    whole = F.col("_n") == F.regexp_count(full, F.lit(WORD))
+    text = F.when(whole, full).otherwise(F.array_join(some, " "))
+    return joined.select(*spread(joined, docs.columns, text))

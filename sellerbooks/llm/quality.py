@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sellerbooks.llm.common import text_blocks
+from sellerbooks.llm.common import numbered, spread, text_blocks
 
 FILTERS = 8
 WIDTH = 5
@@ -233,5 +233,6 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier does not reject, with their columns."""
-    scored = docs.withColumn("_score", score_column(train(docs, labels), F.col("text")))
-    return scored.filter(F.col("_score") >= LEAST).drop("_score")
+    rows = numbered(docs)
+    scored = rows.withColumn("_score", score_column(train(docs, labels), F.col("doc.text")))
+    return scored.filter(F.col("_score") >= LEAST).select(*spread(rows, docs.columns))

@@ -9,7 +9,8 @@ bytes in each half) meet every such pair. Within a posting the shared positional
 bytes of each pair are tallied, pairs with 5 or more are kept and their bits compared.
 
 Only distinct fingerprints are indexed, so copies never meet each other. A posting
-gives the links of a spanning forest of its members, never all its pairs. A posting
+gives one link for each member that is connected, to the least member it reaches
+there, never all its pairs. A posting
 with more members than ``PAIRWISE`` is not compared pair by pair: each member looks up
 every fingerprint within 3 bits that shares the posting's bytes, so the work is in
 proportion to the members. Links become components by alternating star contraction,
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sellerbooks.llm.common import LOWER, ROW, SOLID, U64, one_blank_apart, text_blocks, with_row, word_spans
+from sellerbooks.llm.common import LOWER, ROW, SOLID, U64, numbered, one_blank_apart, spread, text_blocks, with_row, word_spans
 from sellerbooks.session import materialise
 
 SEED = 42
@@ -171,7 +172,7 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def posting_links(values: np.ndarray, shared: tuple[int, ...], most: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest of one posting's distinct, sorted fingerprints."""
+    """Links from each of a posting's distinct, sorted fingerprints to the least one it is connected with there."""
     n = len(values)
     left, right = [], []
     if n <= PAIRWISE:
@@ -289,5 +290,5 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", ROW)
     first = near_duplicates(docs).groupBy("root").agg(F.min(order).alias("f"))
     kept = first.select(F.col(f"f.{ROW}").alias("_kept"))
-    numbered = docs.select("*", F.monotonically_increasing_id().alias(ROW))
-    return numbered.join(kept, F.col(ROW) == F.col("_kept"), "left_semi").drop(ROW)
+    rows = numbered(docs).join(kept, F.col(ROW) == F.col("_kept"), "left_semi")
+    return rows.select(*spread(rows, docs.columns))

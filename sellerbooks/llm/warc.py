@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sellerbooks.llm.common import ROW, as_bytes, with_row
-from sellerbooks.session import materialise, shared_folder
+from sellerbooks.session import materialise, stage_folder
 
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 8 << 20
@@ -165,7 +165,7 @@ def mark_revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
 
 def write_archives(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write a record for each row of (page_id, url, html); returns the manifest (path, records, bytes)."""
-    folder = f"{shared_folder(pages.sparkSession).rstrip('/')}/warc/{uuid.uuid4().hex}"
+    folder = f"{stage_folder(pages.sparkSession)}/warc/{uuid.uuid4().hex}"
     fs, root = open_folder(folder)
     fs.create_dir(root, recursive=True)
     manifest = materialise(mark_revisits(pages).mapInArrow(_writer(folder, archive_bytes), MANIFEST))
@@ -361,7 +361,7 @@ def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -
 def round_trip(pages: DataFrame, with_payload: bool = False) -> DataFrame:
     """Write ``pages`` to archives and read those back."""
     spark = pages.sparkSession
-    folder = shared_folder(spark)
+    folder = stage_folder(spark)
     return read_archives(write_archives(pages), folder, with_payload)
 
 

@@ -274,8 +274,8 @@ UNION ALL SELECT account_name, sku, asin, NULL, record_id FROM {remote_products}
 )
 check(
     "numeric_coerce",
-    "row_index:i sku:t qty:i",
-    "SELECT row_index, sku, CASE WHEN qty = '' THEN 0 ELSE CAST(qty AS BIGINT) END AS qty FROM {sheet_po}",
+    "row_index:i sku:t qty:i amount:n",
+    "SELECT row_index, sku, CASE WHEN qty = '' THEN 0 ELSE CAST(qty AS BIGINT) END AS qty, CAST(replace(unit_price, '$', '') AS DECIMAL(12,2)) AS amount FROM {sheet_po}",
 )
 check(
     "key_violations",
@@ -541,7 +541,10 @@ check(
     f"""SELECT {shown('account_name', 'sku', 'asin')} FROM {{product_data}}
 WHERE lower(sku) IN (SELECT lower(sku) FROM {{q_po_eta_default}} WHERE TRY_CAST(eta AS DATE) >= DATE '{LEDGER_START}') GROUP BY {low('', 'account_name', 'sku')}""",
 )
-MEASURES = ("receipts", "customer_shipments", "customer_returns", "ending_warehouse_balance")
+MEASURES = (
+    "starting_warehouse_balance", "receipts", "customer_shipments", "customer_returns", "vendor_returns", "found", "lost", "damaged",
+    "disposed", "other_events", "unknown_events", "ending_warehouse_balance",
+)
 check(
     "ledger_summary",
     "account_name:t msku:t date:d disposition:t asin:t " + " ".join(f"{m}:i" for m in MEASURES),
@@ -926,6 +929,40 @@ check(
 FROM {{po_records}} p LEFT JOIN {{sheet_cogs}} c ON lower(p.container_num) = lower(trim(c.container_num)) AND lower(p.sku) = lower(trim(c.sku))
   AND lower(p.asin) = lower(trim(c.asin)) AND CAST(p.qty AS VARCHAR) = trim(c.qty)""",
 )
+FACTORY_ACCOUNT = "North"
+FACTORY = (
+    "po_type", "record_id", "account_name", "sku", "asin", "qty", "unit_price", "invoice_amount", "deposit_sent", "balance_owed", "order_placed", "date_paid",
+    "etd", "eta", "completion_date", "ready", "container_num", "remarks", "sheet_duties",
+)
+check(
+    "factory_rows",
+    "",
+    f"""WITH both_sheets AS (SELECT 'Completed' AS po_type, * REPLACE (NULL AS remarks) FROM {{sheet_factory}}
+  UNION ALL SELECT 'Open POs', * REPLACE (nullif(remarks, 'FALSE') AS remarks) FROM {{sheet_factory}}),
+cleaned AS (SELECT * REPLACE (upper(sku) AS sku, {money('unit_price')} AS unit_price, CAST({money('qty')} AS INT) AS qty, {money('invoice_amount')} AS invoice_amount,
+    {money('deposit_sent')} AS deposit_sent, {money('balance_owed')} AS balance_owed, {sheet_day("replace(eta, '.', '/')")} AS eta, {sheet_day("replace(etd, '.', '/')")} AS etd,
+    {sheet_day("replace(order_placed, '.', '/')")} AS order_placed, {sheet_day("replace(date_paid, '.', '/')")} AS date_paid, coalesce(remarks, '') AS remarks,
+    {sheet_day("CASE WHEN regexp_matches(done, '[A-Za-z]') THEN '' ELSE done END")} AS completion_date),
+    coalesce(regexp_matches(done, '^[A-Za-z]+$'), false) AS ready
+  FROM (SELECT *, trim(replace(replace(replace(replace(completion_date, '.', '/'), 'Ready', ''), '; no confirmation', ''), '  ', ' ')) AS done FROM both_sheets) WHERE qty <> ''),
+kept AS (SELECT * FROM cleaned WHERE eta >= DATE '{SHEET_SINCE}' OR po_type = 'Open POs')
+SELECT k.* EXCLUDE (done), '{FACTORY_ACCOUNT.upper()}' AS account_name, coalesce(CAST(p.record_id AS VARCHAR), '') AS record_id, coalesce(p.asin, '') AS asin, {money('c.duties')} AS sheet_duties
+FROM kept k LEFT JOIN {{remote_products}} p ON lower(p.account_name) = lower('{FACTORY_ACCOUNT}') AND lower(p.sku) = lower(k.sku)
+LEFT JOIN {{sheet_cogs}} c ON lower(k.container_num) = lower(trim(c.container_num)) AND lower(k.sku) = lower(trim(c.sku))
+  AND lower(coalesce(p.asin, '')) = lower(trim(c.asin)) AND CAST(k.qty AS VARCHAR) = trim(c.qty)""",
+)
+check(
+    "factory_po_feed",
+    "account_name:t sku:t row_index:i payload:t",
+    f"""SELECT account_name, sku, row_index, NULL AS payload FROM {{published_factory}} WHERE lower(account_name) <> lower('{FACTORY_ACCOUNT}')
+UNION ALL SELECT account_name, sku, row_index, """
+    + json(
+        FACTORY,
+        **{c: f"CAST({c} AS DECIMAL(12,2))" for c in ("unit_price", "invoice_amount", "deposit_sent", "balance_owed", "sheet_duties")},
+        **{c: day(c) for c in ("order_placed", "date_paid", "etd", "eta", "completion_date")},
+    )
+    + " AS payload FROM {q_factory_rows}",
+)
 check(
     "split_refs",
     "row_index:i sku:t reference:t",

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sellerbooks.functions.columns import (
     any_letter,
     blank_to_null,
+    day_text,
     dots_to_slashes,
     only_letters,
     parse_date,
@@ -16,8 +19,12 @@ from sellerbooks.functions.columns import (
     text_is,
 )
 from sellerbooks.operators.joins import lookup, same
+from sellerbooks.sources.publish import numbered_fields, payload
 from sellerbooks.sources.records import labelled_union, pad_columns
 
+# Further dates and amounts a factory sheet may have.
+SHEET_DAYS = ("etd", "order_placed", "date_paid")
+SHEET_MONEY = ("invoice_amount", "deposit_sent", "balance_owed")
 # Words a completion date may carry besides the date.
 READY_WORDS = ("Ready", "; no confirmation")
 
@@ -44,6 +51,12 @@ def po_sheet_clean(completed: DataFrame, open_orders: DataFrame, since: str) ->
         .withColumn("completion_date", completion)
         .filter((F.col("eta") >= F.lit(since).cast("date")) | text_is("po_type", "Open POs"))
     )
+    for c in SHEET_DAYS:
+        if c in rows.columns:
+            rows = rows.withColumn(c, parse_date(dots_to_slashes(F.col(c))))
+    for c in SHEET_MONEY:
+        if c in rows.columns:
+            rows = rows.withColumn(c, parse_money(F.col(c)))
     done = F.when(any_letter(F.col("completion_date")), "").otherwise(F.col("completion_date"))
     return (
         rows.withColumn("ready", F.coalesce(only_letters(F.col("completion_date")), F.lit(False)))
@@ -78,3 +91,31 @@ def sheet_products(rows: DataFrame, products: DataFrame, account: str) -> DataFr
         keyed, products, same("account_name", "sku"), {"record_id": "record_id", "asin": "asin"}, null_safe=True
     )
     return found.withColumn("record_id", F.coalesce(F.col("record_id").cast("string"), F.lit(""))).fillna("", ["asin"])
+
+
+def factory_po_rows(
+    completed: DataFrame,
+    open_orders: DataFrame,
+    products: DataFrame,
+    cogs: DataFrame,
+    costs: list[str],
+    since: str,
+    account: str,
+) -> DataFrame:
+    """Factory orders of both sheets, cleaned, with the product record and the costs of their container."""
+    rows = sheet_products(po_sheet_clean(completed, open_orders, since), products, account)
+    return po_cost_attach(rows, cogs, costs)
+
+
+def factory_po_feed(
+    rows: DataFrame, published: DataFrame, columns: Sequence[str], fields: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The published factory orders once those of the loaded account are replaced by ``rows``.
+
+    Rows that stay carry no payload; loaded ones carry theirs.
+    """
+    accounts = rows.select(F.col("account_name").alias("_loaded")).distinct()
+    kept = lookup(published, accounts, {"account_name": "_loaded"}, how="left_anti")
+    shown = rows.withColumns({c: day_text(F.col(c)) for c, t in rows.dtypes if t == "date"})
+    loaded = payload(shown, fields or numbered_fields(columns)).select("account_name", "sku", "row_index", "payload")
+    return kept.unionByName(loaded, allowMissingColumns=True)

@@ -108,7 +108,8 @@ class Books:
 
     @cached_property
     def numeric_coerce(self):
-        return schema.numeric_coerce(self.inputs.sheet_po, ["qty"])
+        amounts = self.inputs.sheet_po.withColumn("amount", F.translate("unit_price", "$", ""))
+        return schema.numeric_coerce(amounts, ["qty", "amount"])
 
     @cached_property
     def key_violations(self):
@@ -443,6 +444,14 @@ class Books:
     def po_cost_attach(self):
         return purchase_orders.po_cost_attach(self.inputs.po_records, self.inputs.sheet_cogs, ["duties"])
 
+    @cached_property
+    def factory_po_feed(self):
+        sheet = self.inputs.sheet_factory
+        rows = purchase_orders.factory_po_rows(
+            sheet.drop("remarks"), sheet, self._products, self.inputs.sheet_cogs, ["duties"], c.SHEET_SINCE, c.FACTORY_ACCOUNT
+        )
+        return purchase_orders.factory_po_feed(rows, self.inputs.published_factory, c.FACTORY)
+
     @cached_property
     def split_refs(self):
         return explode_refs(self.inputs.sheet_po, "customer_ref", "reference")

@@ -21,6 +21,7 @@ _L_ACCOUNT = _PART_ACCOUNT.replace("{k}", "l_partkey")
 _P_ACCOUNT = _PART_ACCOUNT.replace("{k}", "p_partkey")
 _S_ACCOUNT = _PART_ACCOUNT.replace("{k}", "s_suppkey")
 _NAMED = "CASE account_name WHEN 'acct0' THEN 'North' WHEN 'acct1' THEN 'South' ELSE 'West' END"
+_SHEET_DAY = "concat(CAST(month({c}) AS STRING), '/', CAST(day({c}) AS STRING), '/', CAST(year({c}) AS STRING))"
 _PRODUCT_OF = "concat('b0', CAST(CAST(substr({sku}, 5) AS BIGINT) % 5 AS STRING))"
 _FEE_KINDS = ("Principal", "Commission", "FBAPerUnitFulfillmentFee", "ShippingTax")
 
@@ -111,7 +112,13 @@ SELECT o_orderkey AS row_index, concat('Sku-', CAST(o_custkey AS STRING)) AS sku
 FROM {orders}""",
     "ledger_summary": """
 SELECT account_name, date, concat('FN', msku) AS fnsku, concat('b0', CAST(length(msku) AS STRING)) AS asin, msku, disposition,
+       SUM(quantity * 2) AS starting_warehouse_balance,
        SUM(CASE WHEN event_type = 'Receipts' THEN quantity ELSE 0 END) AS receipts,
+       SUM(CASE WHEN event_type = 'Adjustments' AND quantity < 0 THEN quantity ELSE 0 END) AS vendor_returns,
+       SUM(CASE WHEN event_type = 'Adjustments' AND quantity > 0 THEN quantity ELSE 0 END) AS found,
+       SUM(CASE WHEN quantity = -1 THEN 1 ELSE 0 END) AS lost, SUM(CASE WHEN quantity = -2 THEN 1 ELSE 0 END) AS damaged,
+       SUM(CASE WHEN quantity = -3 THEN 1 ELSE 0 END) AS disposed, SUM(CASE WHEN event_type = 'WhseTransfers' THEN quantity ELSE 0 END) AS other_events,
+       CAST(NULL AS BIGINT) AS unknown_events,
        SUM(CASE WHEN event_type = 'Shipments' THEN quantity ELSE 0 END) AS customer_shipments,
        SUM(CASE WHEN event_type = 'CustomerReturns' THEN quantity ELSE 0 END) AS customer_returns,
        SUM(quantity) AS ending_warehouse_balance
@@ -135,6 +142,17 @@ SELECT l_orderkey * 10 + l_linenumber AS row_index, concat(CASE WHEN l_orderkey
        concat('b0', CAST(l_partkey % 5 AS STRING)) AS asin, CAST(CAST(l_quantity AS INT) * 3 AS STRING) AS qty,
        CASE WHEN l_suppkey % 6 = 0 THEN NULL ELSE concat('$1,', CAST(200 + l_linenumber AS STRING), '.50') END AS duties
 FROM {lineitem} WHERE l_linestatus = 'O' AND l_returnflag = 'N'""",
+    "sheet_factory": f"""
+SELECT l_orderkey * 10 + l_linenumber AS row_index, concat('Sku-', CAST(l_partkey AS STRING)) AS sku, concat('$', CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING)) AS unit_price,
+       CASE WHEN l_orderkey % 13 = 0 THEN '' ELSE CAST(CAST(l_quantity AS INT) * 3 AS STRING) END AS qty,
+       CASE l_orderkey % 3 WHEN 0 THEN 'Ready' WHEN 1 THEN 'pending' ELSE {_SHEET_DAY.format(c="l_shipdate")} END AS completion_date,
+       {_SHEET_DAY.format(c="l_shipdate")} AS eta, CASE WHEN l_orderkey % 7 = 0 THEN 'soon' ELSE replace({_SHEET_DAY.format(c="l_shipdate")}, '/', '.') END AS etd,
+       {_SHEET_DAY.format(c="l_shipdate")} AS order_placed, CASE WHEN l_linenumber = 2 THEN NULL ELSE {_SHEET_DAY.format(c="l_shipdate")} END AS date_paid,
+       concat('$1,', CAST(100 + l_linenumber AS STRING), '.25') AS invoice_amount, CASE WHEN l_linenumber = 3 THEN 'free' ELSE '$50' END AS deposit_sent, '' AS balance_owed,
+       concat('C', CAST(l_suppkey AS STRING)) AS container_num, CASE WHEN l_linenumber = 4 THEN 'FALSE' ELSE 'by sea' END AS remarks
+FROM {{lineitem}} WHERE l_linestatus = 'O' AND l_returnflag = 'N'""",
+    "published_factory": """
+SELECT account_name, sku, record_id_num AS row_index FROM {po_data}""",
     "published_settlements": """
 SELECT DISTINCT CASE WHEN settlement_id % 2 = 0 THEN CAST(settlement_id AS STRING) ELSE concat('other-', CAST(settlement_id AS STRING)) END AS settlement_id,
        CASE WHEN settlement_id % 3 = 0 THEN 'Open' ELSE 'Posted' END AS status FROM {settlements}""",
@@ -168,7 +186,8 @@ SELECT {_NAMED} AS account_name, sku, {_PRODUCT_OF.format(sku="stock_sku")} AS a
 FROM {{reserved_inventory}}""",
     "stock_summary": f"""
 SELECT {_NAMED} AS account_name, date, fnsku, {_PRODUCT_OF.format(sku="msku")} AS asin, msku, concat('Title ', msku) AS title, disposition,
-       receipts, customer_shipments, customer_returns, ending_warehouse_balance
+       starting_warehouse_balance, receipts, customer_shipments, customer_returns, vendor_returns, found, lost, damaged, disposed, other_events,
+       unknown_events, ending_warehouse_balance
 FROM {{ledger_summary}}""",
     "stock_movements": f"""
 SELECT {_NAMED} AS account_name, date, msku, {_PRODUCT_OF.format(sku="msku")} AS asin, event_type, disposition, quantity, reference_id

@@ -165,7 +165,9 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFr
     """
     sized = materialise(sizes(docs))
     chunks = max(1, math.ceil(sized.count() / CHUNK_ROWS))
-    laid = before_in_group(sized, ["source"], F.col("size"), [F.col(ROW)], chunks, [ROW], "start")
+    # By a hash of doc_id, so that runs agree on any file layout; equal ids follow the files.
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("size"), F.col(ROW)]
+    laid = before_in_group(sized, ["source"], F.col("size"), order, chunks, ["doc_id", "size"], "start")
     plan = materialise(plan_mix(sized, shards, seed)).withColumnRenamed("source", "_source")
     rows = materialise(laid.join(plan, F.col("source").eqNullSafe(F.col("_source"))).drop("_source"))
     pieces = rows.filter("size > 0").select(ROW, "source", "ends", F.explode(_pieces()).alias("p")).filter("p.n > 0")

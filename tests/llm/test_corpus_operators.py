@@ -145,6 +145,8 @@ def test_mix_meets_its_targets(documents, monkeypatch):
     assert all(0 <= r["taken"] <= 2 * r["size"] for r in out)
     columns = ("doc_id", "source", "size", "taken")
     assert rows_of(mixing.taken(df), *columns) == rows_of(mixing.taken(df), *columns)
+    once = df.dropDuplicates(["doc_id"])
+    assert rows_of(mixing.taken(once.repartition(3)), *columns) == rows_of(mixing.taken(once.orderBy("text")), *columns)
     assert mixing.taken(df.filter("false")).count() == 0 and mixing.taken(df.filter("text is null")).collect()[0]["taken"] == 0
 
 

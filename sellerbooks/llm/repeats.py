@@ -254,29 +254,54 @@ def _span_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _index_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Regions come sorted by anchor and class; whole groups are gathered into one index at a time."""
+    """Spans found by index. Regions come sorted by anchor and class; several whole groups share an index.
+
+    A group of one class that holds its anchor once has nothing to find. A group of more
+    than HOT_BYTES is let go as it grows, and told by a row with spans below zero.
+    """
     marks: list[tuple] = []
     texts: list[bytes] = []
-    size, last = 0, None
+    size = 0
+    group: list[tuple[tuple, bytes]] = []  # the group that is being read
+    held, repeats, hot, last = 0, False, False, None
 
     def settle() -> pa.RecordBatch:
         numbers: dict[int, int] = {}
-        groups = [numbers.setdefault(m[0], len(numbers)) for m in marks]
-        found = long_matches(texts, groups)
+        found = long_matches(texts, [numbers.setdefault(m[0], len(numbers)) for m in marks])
         return _span_batch([(*marks[i], a, b) for i, own in enumerate(found) for a, b in own])
 
+    def close() -> Iterator[pa.RecordBatch]:
+        nonlocal marks, texts, size, group, held, repeats, hot
+        if hot:
+            yield _span_batch([(last[0], 0, 0, -1, -1)])
+        elif len(group) > 1 or repeats:
+            marks += [m for m, _ in group]
+            texts += [t for _, t in group]
+            size += held
+        group, held, repeats, hot = [], 0, False, False
+        if size > INDEX_BYTES:
+            yield settle()
+            marks, texts, size = [], [], 0
+
     for batch in batches:
-        for h, c1, c2, said in zip(*[batch.column(n).to_pylist() for n in ("h", "c1", "c2", "said")]):
+        columns = [batch.column(n).to_pylist() for n in ("h", "c1", "c2", "anchors", "said")]
+        for h, c1, c2, anchors, said in zip(*columns):
             mark = (h, c1, c2)
             if mark == last:
+                repeats = repeats or anchors > 1
                 continue
-            if size > INDEX_BYTES and h != last[0]:
-                yield settle()
-                marks, texts, size = [], [], 0
-            marks.append(mark)
-            texts.append(said)
-            size += len(said)
+            if last is not None and h != last[0]:
+                yield from close()
             last = mark
+            repeats = repeats or anchors > 1
+            held += len(said)
+            hot = hot or held > HOT_BYTES
+            if hot:
+                group = []
+            else:
+                group.append((mark, said))
+    if last is not None:
+        yield from close()
     if marks:
         yield settle()
 
@@ -385,20 +410,15 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     regions = materialise(texts.mapInArrow(_region_batches, REGIONS))
 
     key = ["h", "c1", "c2"]
-    counts = regions.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("copies"), F.max("length").alias("length"), F.max("anchors").alias("anchors")
-    )
-    sizes = counts.groupBy("h").agg(
-        F.count(F.lit(1)).alias("classes"), F.sum("length").alias("bytes"), F.max("anchors").alias("anchors")
-    )
-    sizes = materialise(sizes.filter("classes > 1 or anchors > 1"))
-    several = regions.filter("said is not null").select(*key, "said")
-    ordinary = several.join(sizes.filter(F.col("bytes") <= HOT_BYTES).select("h"), "h", "left_semi")
-    indexed = ordinary.repartition("h").sortWithinPartitions(*key).mapInArrow(_index_batches, SPANS)
-    hot = several.join(sizes.filter(F.col("bytes") > HOT_BYTES).select("h"), "h", "left_semi")
-    hot = materialise(hot.groupBy(*key).agg(F.max("said").alias("said")))
-    found = materialise(indexed.unionByName(hot_spans(hot)) if hot.limit(1).count() else indexed)
-
+    several = regions.filter("said is not null").select(*key, "anchors", "said")
+    indexed = several.repartition("h").sortWithinPartitions(*key).mapInArrow(_index_batches, SPANS)
+    found = materialise(indexed)
+    if found.filter("low < 0").limit(1).count():
+        hot = several.join(found.filter("low < 0").select("h").distinct(), "h", "left_semi")
+        hot = materialise(hot.groupBy(*key).agg(F.max("said").alias("said")))
+        found = found.filter("low >= 0").unionByName(hot_spans(hot))
+
+    counts = regions.groupBy(*key).agg(F.count(F.lit(1)).alias("copies"))
     slim = regions.select(*key, ROW, "start", "length")
     single = slim.join(found, key).select(ROW, (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high"))
     copied = counts.filter("copies > 1").select(*key)

@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import bisect
 import math
+import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -38,9 +40,15 @@ CAPACITY = 4096
 END = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Chunks kept in a worker's table before it starts anew.
-MOST_CHUNKS = 1_000_000
-#: Longer chunks are tokenized each time.
-LONGEST_KEPT = 64
+MOST_CHUNKS = 200_000
+#: Parts of chunks kept, likewise.
+MOST_PARTS = 500_000
+#: Latin letters, all precomposed and of one lower-case letter each, then ASCII marks but the apostrophe.
+LETTERS_AND_MARKS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+#: A special token of the vocabulary.
+MARK = "<|endoftext|>"
+#: How the vocabulary writes the last token of a word.
+WORD_END = "</w>"
 CHUNK_ROWS = 200_000
 
 PIECES = f"{ROW} long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -63,9 +71,16 @@ class ChunkTokens:
     """Token ids of blank-separated chunks, tokenized once each."""
 
     def __init__(self, path: str):
+        # Spark deals out the cores; threads of the tokenizer's own would only compete for them.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.mark = self.tokenizer.token_to_id(MARK)
+        self.ends_word = np.array(
+            [self.tokenizer.id_to_token(i).endswith(WORD_END) for i in range(self.tokenizer.get_vocab_size())]
+        )
+        self.parts: dict[str, bytes] = {"": b""}
         self._clear()
 
     def _clear(self) -> None:
@@ -74,35 +89,96 @@ class ChunkTokens:
         self.places = np.zeros(1 << 12, dtype=np.int64)
         self.known = 0
 
+    def _chunk_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new chunks, one after another, and each one's number of ids.
+
+        Letters with marks after them, which most chunks are, are two parts to the
+        tokenizer, the letters in lower case; parts are tokenized once each.
+        """
+        shapes = [LETTERS_AND_MARKS.fullmatch(w) for w in words]
+        cut = [(m[1].lower(), m[2]) if m else (w, "") for m, w in zip(shapes, words)]
+        if len(self.parts) > MOST_PARTS:
+            self.parts = {"": b""}
+        parts = self.parts
+        simple = dict.fromkeys(p for m, pair in zip(shapes, cut) if m for p in pair if p not in parts)
+        other = dict.fromkeys(pair[0] for m, pair in zip(shapes, cut) if not m and pair[0] not in parts)
+        for fresh, encode in ((list(simple), self._encode_parts), (list(other), self._encode)):
+            if fresh:
+                ids, count = encode(fresh)
+                raw = ids.tobytes()
+                ends = (4 * np.cumsum(count)).tolist()
+                parts.update((x, raw[b - 4 * n : b]) for x, b, n in zip(fresh, ends, count.tolist()))
+        found = [parts[a] + parts[b] for a, b in cut]
+        return np.frombuffer(b"".join(found), dtype="<u4"), np.array([len(x) // 4 for x in found], dtype=np.int64)
+
+    def _encode_parts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_encode`` for parts that are one word to the tokenizer each: its last token tells where one ends."""
+        texts = [" ".join(words[at : at + 2000]) for at in range(0, len(words), 2000)]
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.flatnonzero(self.ends_word[ids])
+        return ids, np.diff(ends, prepend=-1)
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks one after another, and each chunk's number of ids.
+
+        Chunks go through the tokenizer as long texts with a special token between them;
+        it is split off before anything else, so neighbours do not touch. A chunk that
+        could hold such a token itself goes alone.
+        """
+        words = list(words)
+        alone = [i for i, w in enumerate(words) if "<|" in w]
+        own = [e.ids for e in self.tokenizer.encode_batch([words[i] for i in alone], add_special_tokens=False)]
+        for i in alone:
+            words[i] = ""
+        texts = [MARK.join(words[at : at + 2000]) for at in range(0, len(words), 2000)]
+        parts, counts = [], []
+        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            found = np.array(e.ids, dtype="<u4")
+            cuts = np.flatnonzero(found == self.mark)
+            parts.append(np.delete(found, cuts))
+            counts.append(np.diff(np.concatenate([[-1], cuts, [len(found)]])) - 1)
+        ids = np.concatenate(parts)
+        count = np.concatenate(counts)
+        if alone:
+            pieces = np.split(ids, np.cumsum(count)[:-1])
+            for i, x in zip(alone, own):
+                pieces[i], count[i] = np.array(x, dtype="<u4"), len(x)
+            ids = np.concatenate(pieces)
+        return ids, count
+
     def _learn(self) -> None:
         """Tokenize the chunks seen for the first time."""
         new, self.codes.new = self.codes.new, []
         if not new:
             return
-        found = self.tokenizer.encode_batch([c.decode("utf-8", "replace") for c in new], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        total = self.known + len(ids)
+        ids, count = self._chunk_ids([c.decode("utf-8", "replace") for c in new])
+        total = self.known + len(new)
         if total + 1 > len(self.places):
             self.places = np.concatenate([self.places, np.zeros(max(total + 1, len(self.places)), np.int64)])
-        ends = self.places[self.known] + np.cumsum([len(i) for i in ids])
+        start = self.places[self.known]
+        ends = start + np.cumsum(count)
         self.places[self.known + 1 : total + 1] = ends
         if ends[-1] > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(int(ends[-1]), len(self.flat)), "<u4")])
-        self.flat[self.places[self.known] : ends[-1]] = [x for i in ids for x in i]
+        self.flat[start : ends[-1]] = ids
         self.known = total
 
     def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after another, and the number of each text's ids."""
-        chunks = [t.split() for t in texts]
         code = self.codes.__getitem__
-        codes = np.fromiter((x for c in chunks for x in map(code, c)), dtype=np.int64)
+        found: list[int] = []
+        heads = [0]
+        for t in texts:
+            found.extend(map(code, t.split()))
+            heads.append(len(found))
+        codes = np.array(found, dtype=np.int64)
         self._learn()
         starts = self.places[codes]
         lengths = self.places[codes + 1] - starts
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
-        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(c) for c in chunks])]).astype(np.int64)]
+        edges = np.concatenate([[0], ends]).astype(np.int64)[heads]
         if self.known > MOST_CHUNKS or len(self.flat) > 16 * MOST_CHUNKS:
             self._clear()
         return ids, np.diff(edges)

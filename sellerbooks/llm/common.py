@@ -25,8 +25,14 @@ BASE = 0x9E3779B97F4A7C15
 MIX_A, MIX_B = 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53
 
 
+#: Rows of an Arrow batch. Texts and pages are long: Spark's default of 10,000 rows would
+#: hold tens of megabytes a batch, several times over in the JVM and the worker.
+BATCH_ROWS = 1000
+
+
 def ship_package(spark) -> None:
-    """Send this package to the executors, once a session, for those that do not have it installed."""
+    """Make a session ready: small Arrow batches, and this package on executors that do not have it installed."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_sellerbooks_shipped", False):
         return

@@ -2,6 +2,8 @@
 
 Inner product becomes Euclidean distance by one more coordinate: vectors are divided by
 the largest norm M and get sqrt(1 - |x|^2), queries are made unit vectors and get 0.
+Vectors of a shard are cut into ranges of norms within ``RATIO`` of each other, each with
+an M of its own, so one long vector does not crowd the others together.
 Each of ``TABLES`` tables hashes a point to ``HASHES`` slots of width ``WIDTH`` along
 Gaussian directions. A query visits its own bucket and then perturbed ones in the order
 of estimated success: the distances from its slots' edges are sorted, and sets of steps
@@ -9,6 +11,12 @@ are taken in increasing order of their expected squared distance. Candidates of
 tables are merged and ranked by the exact inner product of the original vectors in
 double precision, summed in one fixed order, so equal vectors score equally.
 
+Probing ends where its bound is met. A vector that would still change a query's list lies
+within the distance its last score stands for; the slots' edges give the probability that
+the probes of all tables meet a point at that distance. Where it is below ``FOUND_AT_LEAST``,
+or the list is not full, the whole range is scored. Ranges go from long vectors to short
+ones, and one whose M cannot reach the list's last score is passed over.
+
 Equal vectors are indexed once with the smallest ids they can need, and equal queries
 search once, so copies never make a hot bucket. The index is dealt into shards of about
 ``SHARD_ROWS`` distinct vectors by a hash of the vector, which spreads a hot bucket too;
@@ -40,6 +48,14 @@ TABLES = 10
 HASHES = 10
 WIDTH = 2.0
 PROBES = 900
+#: Norms of a range; within it the longest is its M.
+RATIO = 1.2
+#: Ranges of fewer vectors are scored whole, which is less work than their probes.
+LEAST_RANGE = 256
+#: Least estimated probability that the probes meet a vector which belongs to the list.
+FOUND_AT_LEAST = 0.97
+#: Bounds the error of a product of unit vectors.
+ROUNDING = 1e-11
 SEED = 5
 SHARD_ROWS = 20_000
 
@@ -83,6 +99,11 @@ def _steps(hashes: int = HASHES, probes: int = PROBES) -> np.ndarray:
     return taken
 
 
+@lru_cache(maxsize=2)
+def _taken() -> np.ndarray:
+    return _steps().astype(np.float64)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
@@ -96,44 +117,124 @@ def _project(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return slots.astype(np.int64), places / WIDTH - slots
 
 
+def norms(x: np.ndarray) -> np.ndarray:
+    """Lengths of the rows, also where their squares are out of range."""
+    most = np.abs(x).max(axis=1)
+    return most * np.sqrt(((x / most[:, None]) ** 2).sum(axis=1))
+
+
+def _below(x: np.ndarray) -> np.ndarray:
+    """The standard normal distribution function, to 1e-7 (Abramowitz and Stegun 26.2.17)."""
+    t = 1 / (1 + 0.2316419 * np.abs(x))
+    tail = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+    tail *= np.exp(-x * x / 2) / math.sqrt(2 * math.pi)
+    return np.where(x < 0, tail, 1 - tail)
+
+
+class Probe:
+    """One query's buckets in all tables, and how likely they hold a point at some distance."""
+
+    def __init__(self, inside: np.ndarray, own: np.ndarray, weights: np.ndarray):
+        edges = np.concatenate([inside, 1 - inside], axis=1)  # a step down, a step up
+        ranked = np.argsort(edges, axis=1, kind="stable")
+        moves = np.where(ranked < HASHES, -1, 1) * weights[ranked % HASHES]
+        self.visited = [own[t] + _steps() @ moves[t] for t in range(TABLES)]
+        self.inside, self.ranked = inside, ranked
+
+    def success(self, distance: float) -> float:
+        """Probability that a visited bucket of any table holds a given point at ``distance``."""
+        width = WIDTH / max(distance, 1e-9)
+        low, high = -self.inside * width, (1 - self.inside) * width
+        under, over = _below(low), _below(high)
+        # Per hash: the slots below, at and above the query's own.
+        down, stay, up = under - _below(low - width), over - under, _below(high + width) - over
+        stay = np.maximum(stay, 1e-300)
+        gain = np.log(np.maximum(np.concatenate([down, up], axis=1), 1e-300)) - np.log(np.concatenate([stay, stay], axis=1))
+        gain = np.take_along_axis(gain, self.ranked, axis=1)
+        chance = np.exp(_taken() @ gain.T + np.log(stay).sum(axis=1)).sum(axis=0)
+        return 1 - float(np.prod(1 - np.minimum(chance, 1)))
+
+
+class NormRange:
+    """Vectors of like norms, ``rows`` of the shard: for each table its buckets, and each vector's bucket."""
+
+    def __init__(self, x: np.ndarray, rows: np.ndarray, longest: float, weights: np.ndarray):
+        self.rows, self.longest = rows, longest
+        self.tables = None
+        if len(rows) < LEAST_RANGE:
+            return
+        scaled = x[rows] / longest
+        lift = np.sqrt(np.maximum(1 - (scaled * scaled).sum(axis=1), 0))
+        slots, _ = _project(np.concatenate([scaled, lift[:, None]], axis=1))
+        self.tables = [np.unique((slots[:, t] * weights).sum(axis=1), return_inverse=True) for t in range(TABLES)]
+
+    def met(self, probe: Probe) -> np.ndarray:
+        """Which of ``rows`` lie in the buckets that the query visits."""
+        found = np.zeros(len(self.rows), dtype=bool)
+        for (buckets, bucket_of), visited in zip(self.tables, probe.visited):
+            at = np.searchsorted(buckets, visited)
+            at[at == len(buckets)] = 0
+            hit = np.zeros(len(buckets), dtype=bool)
+            hit[at[buckets[at] == visited]] = True
+            found |= hit[bucket_of]
+        return found
+
+
 class Shard:
-    """The tables of one share of the vectors: for each table its buckets, and each vector's bucket."""
+    """One share of the vectors, in ranges of norms from the longest to the shortest."""
 
-    def __init__(self, x: np.ndarray, longest: float):
+    def __init__(self, x: np.ndarray):
         self.x = x
-        scaled = x / longest
-        lift = np.sqrt(np.maximum(1 - (scaled * scaled).sum(axis=1), 0))
-        slots, _ = _project(np.concatenate([scaled, lift[:, None]], axis=1))
         # A bucket's key is a weighted sum of its slots, so that a step adds or takes one weight.
         self.weights = np.random.default_rng(SEED).integers(1, 1 << 62, size=HASHES, dtype=np.int64)
-        self.tables = [np.unique((slots[:, t] * self.weights).sum(axis=1), return_inverse=True) for t in range(TABLES)]
-
-    def candidates(self, queries: np.ndarray) -> Iterator[np.ndarray]:
-        """Vectors in the buckets each query visits."""
-        unit = queries / np.linalg.norm(queries, axis=1)[:, None]
+        self.length = length = norms(x)
+        order = np.argsort(-length, kind="stable")
+        self.ranges, at = [], 0
+        while at < len(order):
+            longest = float(length[order[at]])
+            end = max(at + 1, int(np.searchsorted(-length[order], -longest / RATIO, side="right")))
+            # The next range begins below; a rest that is scored whole may be as wide as it likes.
+            end = len(order) if len(order) - end < LEAST_RANGE and end - at < LEAST_RANGE else end
+            self.ranges.append(NormRange(x, np.sort(order[at:end]), longest * (1 + 1e-12), self.weights))
+            at = end
+
+    def candidates(self, queries: np.ndarray, top: int) -> Iterator[np.ndarray]:
+        """Rows that hold each query's ``top`` best ones, as far as the bound goes; never fewer than there are."""
+        unit = queries / norms(queries)[:, None]
         slots, inside = _project(np.concatenate([unit, np.zeros((len(unit), 1))], axis=1))
-        edges = np.concatenate([inside, 1 - inside], axis=2)  # a step down, a step up
-        ranked = np.argsort(edges, axis=2, kind="stable")
-        moves = np.where(ranked < HASHES, -1, 1) * self.weights[ranked % HASHES]
         own = (slots * self.weights).sum(axis=2)
-        steps = _steps()
         for i in range(len(queries)):
-            found = np.zeros(len(self.x), dtype=bool)
-            for t, (buckets, bucket_of) in enumerate(self.tables):
-                visited = own[i, t] + steps @ moves[i, t]
-                at = np.searchsorted(buckets, visited)
-                at[at == len(buckets)] = 0
-                hit = np.zeros(len(buckets), dtype=bool)
-                hit[at[buckets[at] == visited]] = True
-                found |= hit[bucket_of]
-            yield np.flatnonzero(found)
+            found, scores, probe = np.zeros(0, np.int64), np.zeros(0), None
+            last = -np.inf
+            for part in self.ranges:
+                if last > part.longest:
+                    break
+                if part.tables is not None:
+                    probe = probe or Probe(inside[i], own[i], self.weights)
+                    some = part.rows[part.met(probe)]
+                    more = np.concatenate([found, some]), np.concatenate([scores, self.x[some] @ unit[i]])
+                    reached = self._last(*more, top)
+                    # Whatever belongs to the list and was not met is no farther than this.
+                    distance = math.sqrt(max(2 - 2 * reached / part.longest, 0)) if reached > -np.inf else np.inf
+                    if distance < np.inf and probe.success(distance) >= FOUND_AT_LEAST:
+                        (found, scores), last = more, reached
+                        continue
+                found, scores = np.concatenate([found, part.rows]), np.concatenate([scores, self.x[part.rows] @ unit[i]])
+                last = self._last(found, scores, top)
+            yield np.sort(found[scores + ROUNDING * self.length[found] >= last])
+
+    def _last(self, found: np.ndarray, scores: np.ndarray, top: int) -> float:
+        """What the ``top``-th best score is at least, as scores are rounded in proportion to the norms."""
+        if len(found) < top:
+            return -np.inf
+        return float(np.partition(scores - ROUNDING * self.length[found], len(found) - top)[len(found) - top])
 
 
 ROWS = "part int, kind int, k1 long, k2 long, vector array<double>, ids array<long>"
 FOUND = "q1 long, q2 long, k1 long, k2 long, score double, ids array<long>"
 
 
-def _search(longest: float, top: int):
+def _search(top: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by part, vectors before queries; a shard is dropped when the next part begins."""
         now, held, shard = None, [], None
@@ -152,7 +253,7 @@ def _search(longest: float, top: int):
                 if shard is None and held:
                     index = pa.Table.from_batches(held).combine_chunks()
                     columns = [index.column(n).combine_chunks() for n in ("k1", "k2", "ids")]
-                    shard = Shard(_matrix(index.column("vector").combine_chunks()), longest)
+                    shard = Shard(_matrix(index.column("vector").combine_chunks()))
                 if shard is not None:
                     for at in range(a, b, 256):
                         yield from _look_up(batch.slice(at, min(256, b - at)), shard, columns, top)
@@ -163,11 +264,7 @@ def _search(longest: float, top: int):
 def _look_up(run: pa.RecordBatch, shard: Shard, columns: list[pa.Array], top: int) -> Iterator[pa.RecordBatch]:
     queries = _matrix(run.column("vector"))
     asked, rows, values = [], [], []
-    for i, own in enumerate(shard.candidates(queries)):
-        if len(own) > top:
-            rough = shard.x[own] @ queries[i]
-            least = np.partition(rough, len(own) - top)[len(own) - top]
-            own = own[rough >= least - 1e-9 * (1 + abs(least))]
+    for i, own in enumerate(shard.candidates(queries, top)):
         asked.append(np.full(len(own), i))
         rows.append(own)
         values.append((shard.x[own] * queries[i]).sum(axis=1))
@@ -202,7 +299,6 @@ def nearest(
     rows = materialise(rows)
     facts = rows.agg(
         F.max(F.size("vector")).alias("d"),
-        F.max(F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v)).alias("m"),
         F.count(F.lit(1)).alias("n"),
     ).collect()[0]
     none = "query_id long, rank int, id long, score double"
@@ -226,8 +322,7 @@ def nearest(
         every_part.alias("part"), F.lit(1).alias("kind"), "k1", "k2", "vector", F.array().cast("array<long>").alias("ids")
     )
     dealt = index.unionByName(asking).repartition(parts, "part").sortWithinPartitions("part", "kind")
-    longest = math.sqrt(facts["m"]) * (1 + 1e-12)
-    found = dealt.mapInArrow(_search(longest, top + 1), FOUND)
+    found = dealt.mapInArrow(_search(top + 1), FOUND)
 
     # The best top + 1 vectors hold the best top + 1 rows.
     best = Window.partitionBy("q1", "q2").orderBy(F.desc("score"), F.element_at("ids", 1))

@@ -377,6 +377,43 @@ def test_nearest_neighbours_recall_and_scores(spark):
     assert set(out.query_id) == set(range(0, 1500, 20))
 
 
+@pytest.mark.parametrize("norms", ["outlier", "lognormal"])
+def test_nearest_neighbours_where_norms_vary(spark, norms):
+    rng = np.random.default_rng(15)
+    x = rng.normal(size=(1200, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if norms == "outlier":
+        x[7] *= 100
+    else:
+        x *= rng.lognormal(0, 1, (1200, 1))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    out = ann.nearest(df).toPandas()
+    hit = 0
+    for q in range(0, 1200, 20):
+        score = x @ x[q]
+        order = np.argsort(-score, kind="stable")
+        own = out[out.query_id == q]
+        assert sorted(own["rank"]) == list(range(1, 21))
+        hit += len(set(own.id) & set(order[order != q][:20]))
+    assert hit / (60 * 20) >= 0.9
+
+
+def test_the_bound_estimates_what_the_probes_meet():
+    rng = np.random.default_rng(16)
+    x = rng.normal(size=(400, 48))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    shard = ann.Shard(x)
+    met, expected = 0, 0.0
+    unit = rng.normal(size=(60, 48))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    slots, inside = ann._project(np.concatenate([unit, np.zeros((60, 1))], axis=1))
+    for i in range(60):
+        probe = ann.Probe(inside[i], (slots[i] * shard.weights).sum(axis=1), shard.weights)
+        met += shard.ranges[0].met(probe)[:25].sum()
+        expected += sum(probe.success(np.linalg.norm(x[j] - unit[i])) for j in range(25))
+    assert abs(met - expected) <= 0.05 * 60 * 25
+
+
 def test_nearest_of_few_and_of_none(spark):
     kind = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [1.0, 0.0])], kind)

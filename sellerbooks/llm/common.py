@@ -56,7 +56,11 @@ def with_row(df: DataFrame, *columns: Column) -> DataFrame:
 
 
 def numbered(df: DataFrame) -> DataFrame:
-    """(_row, doc): the row id and the whole row as one struct, so that no column of the input can clash with a helper's."""
+    """(_row, doc): the row id and the whole row as one struct, so that no column of the input can clash with a helper's.
+
+    Another scan may number otherwise, as splits follow the cores there are when it is
+    planned. Where ids are met again in a later step, number once and ``materialise``.
+    """
     return df.select(F.monotonically_increasing_id().alias(ROW), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"))
 
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sellerbooks.llm.common import ROW, numbered, spread, with_row
+from sellerbooks.llm.common import ROW, numbered, spread
 from sellerbooks.session import materialise
 
 MIN_SITES = 10
@@ -33,10 +33,9 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def line_places(docs: DataFrame) -> DataFrame:
-    """(_row, doc_id, site, line, h1, h2): every line that is not blank, by hash."""
-    # Numbered before the lines are spread: a generator in the same step would number lines.
-    rows = with_row(docs, "doc_id", F.col("source").alias("site"), "text")
+def line_places(rows: DataFrame) -> DataFrame:
+    """(_row, doc_id, site, line, h1, h2): every line of the numbered documents that is not blank, by hash."""
+    rows = rows.select(ROW, "doc.doc_id", F.col("doc.source").alias("site"), "doc.text")
     rows = rows.select(ROW, "doc_id", "site", F.posexplode(_lines(F.col("text"))).alias("line", "said"))
     rows = rows.withColumn("said", F.btrim("said", F.lit(BLANKS))).filter("said <> ''")
     hashes = F.xxhash64("said").alias("h1"), F.xxhash64(F.lit(1), "said").alias("h2")
@@ -72,11 +71,13 @@ def boilerplate(places: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """The documents without repeated boilerplate lines; adds (or replaces) n_lines and n_removed."""
-    places = materialise(line_places(docs))
+    # Numbered and written before the lines are spread: the removals below are keyed by these ids.
+    rows = materialise(numbered(docs))
+    places = materialise(line_places(rows))
     found = boilerplate(places, min_sites).select("h1", "h2", F.col("first").alias("f"))
     extra = places.join(found, ["h1", "h2"]).filter((F.col(ROW) != F.col(f"f.{ROW}")) | (F.col("line") != F.col("f.line")))
     removed = extra.groupBy(F.col(ROW).alias("_r")).agg(F.collect_list("line").alias("_gone"))
-    rows = numbered(docs).join(removed, F.col(ROW) == F.col("_r"), "left")
+    rows = rows.join(removed, F.col(ROW) == F.col("_r"), "left")
     whole = F.col("doc.text")
     lines = _lines(whole)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))

@@ -43,8 +43,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def sizes(docs: DataFrame) -> DataFrame:
     """(_row, doc_id, source, size): size is the number of words."""
-    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return with_row(docs, "doc_id", "source", words.alias("size"))
+    return with_row(docs, *_measured())
+
+
+def _measured(own: str = "") -> list[Column]:
+    words = F.coalesce(F.regexp_count(F.col(f"{own}text"), F.lit(WORD)), F.lit(0)).cast("long")
+    return [F.col(f"{own}doc_id").alias("doc_id"), F.col(f"{own}source").alias("source"), words.alias("size")]
 
 
 def targets(rows: DataFrame) -> DataFrame:
@@ -163,7 +167,10 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFr
     pieces: _row, turn, first, n, shard, place for every part of a document that the mix
     takes: ``n`` words from word ``first``, written to ``shard`` in the order of ``place``.
     """
-    sized = materialise(sizes(docs))
+    return _mix(materialise(sizes(docs)), shards, seed)
+
+
+def _mix(sized: DataFrame, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     chunks = max(1, math.ceil(sized.count() / CHUNK_ROWS))
     # By a hash of doc_id, so that runs agree on any file layout; equal ids follow the files.
     order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("size"), F.col(ROW)]
@@ -193,10 +200,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     A document taken whole keeps its text; one taken in part keeps the words taken,
     one blank apart. Other columns are repeated as they are.
     """
-    _, pieces = mix(docs)
+    numbers = materialise(numbered(docs))
+    _, pieces = _mix(materialise(numbers.select(ROW, *_measured("doc."))))
     part = F.sort_array(F.collect_list(F.struct("first", "n")))
     turns = pieces.groupBy(F.col(ROW).alias("_r"), "turn").agg(F.sum("n").alias("_n"), part.alias("_parts"))
-    joined = numbered(docs).join(turns, F.col(ROW) == F.col("_r"))
+    joined = numbers.join(turns, F.col(ROW) == F.col("_r"))
     full = F.col("doc.text")
     words = F.regexp_extract_all(full, F.lit(WORD), F.lit(0))
     some = F.flatten(F.transform("_parts", lambda p: F.slice(words, (p["first"] + 1).cast("int"), p["n"].cast("int"))))

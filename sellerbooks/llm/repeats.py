@@ -399,9 +399,9 @@ def _final_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): _row and text of the documents with repeated anchors, and _row, low, high of covered bytes."""
-    rows = with_row(docs, F.col("text").cast("string").alias("text")).filter(F.octet_length("text") >= LONG)
+def repeated_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(texts, spans) of written rows (_row, text): _row and text of the documents with repeated anchors, and _row, low, high of covered bytes."""
+    rows = rows.select(ROW, "text").filter(F.octet_length("text") >= LONG)
     anchors = materialise(rows.mapInArrow(_anchor_batches, f"h long, {ROW} long, low long, high long"))
     twice = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
     hits = anchors.join(twice, "h", "left_semi")
@@ -432,14 +432,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     ``removed`` lists the maximal removed spans; ``kept`` holds the remaining bytes where
     any were removed, else NULL.
     """
-    texts, spans = repeated_spans(docs)
+    # Written once: another scan of the documents may number them otherwise.
+    rows = materialise(with_row(docs, "doc_id", F.col("text").cast("string").alias("text")))
+    texts, spans = repeated_spans(rows)
     own = spans.groupBy(F.col(ROW).alias("_s")).agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     changed = texts.join(own, F.col(ROW) == F.col("_s")).select(ROW, "text", "spans")
     changed = changed.mapInArrow(
         _final_batches, "_r long, n_removed long, removed array<array<long>>, sha string, kept binary"
     )
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    plain = with_row(docs, "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("full"))
+    text = F.coalesce("text", F.lit(""))
+    plain = rows.select(ROW, "doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("full"))
     joined = plain.join(changed, F.col(ROW) == F.col("_r"), "left")
     return joined.select(
         ROW, "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),

@@ -30,7 +30,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sellerbooks.llm.common import LOWER, ROW, SOLID, U64, numbered, one_blank_apart, spread, text_blocks, with_row, word_spans
@@ -145,7 +145,14 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 def fingerprint_rows(docs: DataFrame) -> DataFrame:
     """(_row, doc_id, fp): one fingerprint for each document, as a signed 64-bit number."""
-    rows = with_row(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _fingerprints(with_row(docs, *_hashed()))
+
+
+def _hashed(own: str = "") -> list[Column]:
+    return [F.col(f"{own}doc_id").cast("long").alias("doc_id"), F.col(f"{own}text").cast("string").alias("text")]
+
+
+def _fingerprints(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(_fingerprint_batches, f"{ROW} long, doc_id long, fp long")
 
 
@@ -275,7 +282,11 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(_row, doc_id, fp, root, component_id) for every document; root is the component's least fingerprint."""
-    rows = materialise(fingerprint_rows(docs))
+    return _grouped(materialise(fingerprint_rows(docs)))
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    """Each of the rows (_row, doc_id, fp) with its root and component_id."""
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(fingerprint_links(distinct))
     named = distinct.join(roots, F.col("fp") == F.col("node"), "left")
@@ -288,7 +299,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The documents with the smallest doc_id of their component; of equal doc_ids, the first row."""
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", ROW)
-    first = near_duplicates(docs).groupBy("root").agg(F.min(order).alias("f"))
+    rows = materialise(numbered(docs))
+    marked = materialise(_fingerprints(rows.select(ROW, *_hashed("doc."))))
+    first = _grouped(marked).groupBy("root").agg(F.min(order).alias("f"))
     kept = first.select(F.col(f"f.{ROW}").alias("_kept"))
-    rows = numbered(docs).join(kept, F.col(ROW) == F.col("_kept"), "left_semi")
+    rows = rows.join(kept, F.col(ROW) == F.col("_kept"), "left_semi")
     return rows.select(*spread(rows, docs.columns))

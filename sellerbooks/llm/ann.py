@@ -22,8 +22,9 @@ search once, so copies never make a hot bucket. The index is dealt into shards o
 ``SHARD_ROWS`` distinct vectors by a hash of the vector, which spreads a hot bucket too;
 a task holds one shard's tables and streams the distinct queries past it in batches.
 
-Defined cases: vectors that are NULL, zero, of another dimension than the longest, or
-hold NULL or non-finite components take no part; NULL ids take no part; rows that
+Defined cases: vectors that are NULL, zero, or hold NULL or non-finite components take
+no part; a vector is searched among those of its own dimension, each dimension having
+shards of its own; NULL ids take no part; rows that
 repeat an id and vector count once; an id never finds itself; ties go to the smaller id;
 fewer candidates give fewer rows.
 """
@@ -230,18 +231,17 @@ class Shard:
         return float(np.partition(scores - ROUNDING * self.length[found], len(found) - top)[len(found) - top])
 
 
-ROWS = "part int, kind int, k1 long, k2 long, vector array<double>, ids array<long>"
 FOUND = "q1 long, q2 long, k1 long, k2 long, score double, ids array<long>"
 
 
 def _search(top: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by part, vectors before queries; a shard is dropped when the next part begins."""
+        """Rows come sorted by dimension and part, vectors before queries; a shard is dropped when the next part begins."""
         now, held, shard = None, [], None
         for batch in batches:
-            parts = batch.column("part").to_numpy()
-            kinds = batch.column("kind").to_numpy()
-            cuts = np.flatnonzero((parts[1:] != parts[:-1]) | (kinds[1:] != kinds[:-1])) + 1
+            marks = np.stack([batch.column(n).to_numpy() for n in ("d", "part", "kind")], axis=1)
+            parts, kinds = [tuple(m) for m in marks[:, :2].tolist()], marks[:, 2]
+            cuts = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(parts)]):
                 if a == b:
                     continue
@@ -297,14 +297,6 @@ def nearest(
     """(query_id, rank, id, score): the ``top`` nearest found of each row whose id is divisible by ``every``."""
     rows = usable(embeddings, id_column, vector_column)
     rows = materialise(rows)
-    facts = rows.agg(
-        F.max(F.size("vector")).alias("d"),
-        F.count(F.lit(1)).alias("n"),
-    ).collect()[0]
-    none = "query_id long, rank int, id long, score double"
-    if not facts["n"]:
-        return embeddings.sparkSession.createDataFrame([], none)
-    rows = rows.filter(F.size("vector") == facts["d"])
     # The smallest ids of each vector: one more than the list, as a query leaves itself out.
     by_id = Window.partitionBy("k1", "k2").orderBy("id")
     few = rows.select("id", "k1", "k2").distinct().withColumn("r", F.row_number().over(by_id)).filter(F.col("r") <= top + 1)
@@ -314,14 +306,20 @@ def nearest(
     asked = rows.filter(F.pmod(F.col("id"), F.lit(every)) == 0).select("id", "k1", "k2").distinct()
     queries = distinct.join(asked.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
 
-    parts = max(1, math.ceil(distinct.count() / SHARD_ROWS))
-    part = F.pmod("k1", F.lit(parts)).cast("int")
-    index = distinct.select(part.alias("part"), F.lit(0).alias("kind"), "k1", "k2", "vector", "ids")
-    every_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    asking = queries.select(
-        every_part.alias("part"), F.lit(1).alias("kind"), "k1", "k2", "vector", F.array().cast("array<long>").alias("ids")
+    # One row for each dimension: so many shards.
+    shards = F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("parts")
+    dimensions = materialise(distinct.groupBy(F.size("vector").alias("d")).agg(shards))
+    parts = dimensions.agg(F.sum("parts")).collect()[0][0]
+    if not parts:
+        return embeddings.sparkSession.createDataFrame([], "query_id long, rank int, id long, score double")
+    part = F.pmod("k1", F.col("parts")).cast("int")
+    own = distinct.withColumn("d", F.size("vector")).join(dimensions, "d")
+    index = own.select("d", part.alias("part"), F.lit(0).alias("kind"), "k1", "k2", "vector", "ids")
+    every_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    asking = queries.withColumn("d", F.size("vector")).join(dimensions, "d").select(
+        "d", every_part.alias("part"), F.lit(1).alias("kind"), "k1", "k2", "vector", F.array().cast("array<long>").alias("ids")
     )
-    dealt = index.unionByName(asking).repartition(parts, "part").sortWithinPartitions("part", "kind")
+    dealt = index.unionByName(asking).repartition(parts, "d", "part").sortWithinPartitions("d", "part", "kind")
     found = dealt.mapInArrow(_search(top + 1), FOUND)
 
     # The best top + 1 vectors hold the best top + 1 rows.

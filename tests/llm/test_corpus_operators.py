@@ -414,6 +414,21 @@ def test_the_bound_estimates_what_the_probes_meet():
     assert abs(met - expected) <= 0.05 * 60 * 25
 
 
+def test_nearest_neighbours_of_several_dimensions(spark):
+    rng = np.random.default_rng(17)
+    sizes = [8] * 300 + [9] + [5] * 41 + [6] * 3
+    x = [rng.normal(size=n) for n in sizes]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    out = ann.nearest(df).toPandas()
+    for q in range(0, len(x), 20):
+        same = [i for i, v in enumerate(x) if len(v) == len(x[q]) and i != q]
+        own = out[out.query_id == q].sort_values("rank")
+        best = sorted(same, key=lambda i: -(x[i] @ x[q]))[:20]
+        assert len(own) == len(best) and set(own.id) <= set(same)
+        assert len(set(own.id) & set(best)) >= 0.9 * len(best)
+    assert {0, 280, 320, 340} <= set(out.query_id) and 300 not in set(out.query_id)
+
+
 def test_nearest_of_few_and_of_none(spark):
     kind = "vec_id long, embedding array<float>"
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [1.0, 0.0])], kind)

@@ -1,11 +1,12 @@
-"""Best-fit packing of token pieces into sequences of a fixed capacity, in bulk-synchronous sweeps.
+"""Best-fit packing of token pieces into sequences of a fixed capacity, planned on the driver by counts of equal lengths.
 
 Documents become token pieces in Arrow batches: blank-separated chunks are looked up in
 a table of chunks already tokenized, which equals tokenizing the whole text because the
 tokenizer cuts at white space first. Only pieces of ``capacity`` tokens are cut.
 
-Pieces are then placed in sweeps. Piece lengths and gaps are whole numbers up to the
-capacity, so both sorted lists are held as runs of equal size; a sweep takes the
+Pieces are then placed in one pass on the driver, which replaces distributed sweeps.
+Piece lengths and gaps are whole numbers up to the capacity, so both sorted lists are
+held as runs of equal size; a step of the pass takes the
 largest unplaced run, gives its members to the successor run of gaps (the smallest
 that holds them) in rank order, updates those gaps and goes on; where no gap is large
 enough, sequences are opened. Equal pieces that compete for the same gaps are told

@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sellerbooks.llm import ann, licenses, lines, mixing, packing, quality, repeats, search, simhash, warc
+from sellerbooks.llm import (
+    ann,
+    centroids,
+    licenses,
+    lines,
+    mixing,
+    packing,
+    pieces,
+    quality,
+    repeats,
+    search,
+    simhash,
+    spelling,
+    warc,
+)
 from sellerbooks.llm.common import read_table
 
 
@@ -60,6 +74,28 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    done = pieces.round_trip(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return done.select(
+        "doc.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(read_table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+    return found.withColumn("centroid_sha256", centroids.centroid_digest(F.col("centroid"))).drop("centroid")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and name[2:3].isdigit()}
     return found | {"pipeline": corpus_pipeline.run}
@@ -71,4 +107,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_line_dedup": lines.CHECK_SQL,
         "op3_block_max_search": search.CHECK_SQL,
         "op7_warc": warc.CHECK_SQL,
+        "op12_spelling_variants": spelling.CHECK_SQL,
+        "op13_centroid_clusters": centroids.CHECK_SQL,
     }

@@ -46,8 +46,9 @@ LEVELS = (5, 1, 4, 9, 14, 15, 2, 3, 12, 0, 13, 7, 8, 6, 10, 11)
 MEMBERS, QUERIES = 100_000, 400_000
 #: Words a branch has on average before the key takes in another level.
 PER_BRANCH = 2_000
-FRONTIER = 1 << 20
-PAIR_BYTES = 1 << 24
+#: Bounds of memory: open paths of a search, candidate pairs of its leaves, and letters of padded pairs at a time.
+FRONTIER = 1 << 18
+PAIR_BYTES = 1 << 21
 #: Doublings of the way from a word to its root: counts grow tenfold a step, so 2 ** 5 steps are more than 64 bits hold.
 DOUBLINGS = 5
 

@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sellerbooks.functions.columns import all_of, folded
+from sellerbooks.operators import scan as scans
 
 # Numbers generated at a time where a row becomes many.
 RUN = 1000
+# Places of a bound before a position, the position, and a bound behind it, where they are equal.
+BEFORE, POINT, AFTER = 0, 1, 2
 
 
 def lookup(
@@ -100,40 +103,58 @@ def range_assign(
     position on a boundary meets two receipts. Strict form:
     ``position <= upper and position > lower``.
 
-    A join on the product alone would compare every usage row of a product with
-    every receipt of it. Here quantities are cut into buckets as wide as the mean
-    receipt of the same product, and the bucket joins the key: a product's receipts
-    become about twice as many rows, whatever other products look like, each position
-    falls into one bucket, and a product that sells a third of all units spreads over
-    its buckets. In the run form a position below zero meets the receipts that a zero
-    meets, so it goes to bucket 0. The exact test stays in the join.
+    Usage positions and the bounds of receipts are merged into one order, by product, then
+    quantity, which is cut into sampled ranges and scanned once: every position gets its rank
+    among all positions, every bound the number of positions before it. The positions that a
+    receipt supplies are then consecutive ranks, whatever ranges they lie in, so a receipt
+    becomes exactly as many rows as it has matches and joins on the rank, which is spread evenly.
+    Work follows rows and matches: neither a product that sells a third of all units nor a
+    receipt larger than all others changes it. In the run form a position below zero meets what a
+    zero meets as long as the receipt reaches it, so a receipt from zero or below is open downwards.
     """
     marks = [f"_r{i}" for i in range(len(on))]
-    length = F.greatest(F.col("_high") - F.col("_low"), F.lit(1))
-    side = receipts.select(
+    low, high = F.col(lower), F.col(upper)
+    held = receipts.filter(high > low if strict else high >= F.when(low > 0, low).otherwise(high))
+    # A missing key meets none, and must not stand beside the positions that lack one.
+    held = held.filter(all_of([low.isNotNull(), *[F.col(r).isNotNull() for r in on.values()]]))
+    # A bound counts the positions before it: a closed lower one stands before equal positions, the others behind them.
+    if strict:
+        begin = F.struct(low.alias("at"), F.lit(AFTER).alias("kind"))
+    else:
+        closed = F.struct(low.alias("at"), F.lit(BEFORE).alias("kind"))
+        everything = F.struct(F.lit(None).cast(receipts.schema[lower].dataType).alias("at"), F.lit(AFTER).alias("kind"))
+        begin = F.when(low > 0, closed).otherwise(everything)
+    end = F.struct(high.cast(receipts.schema[lower].dataType).alias("at"), F.lit(AFTER + 1).alias("kind"))
+    numbered = held.select(
         *[folded(receipts, r).alias(m) for r, m in zip(on.values(), marks)],
-        F.col(lower).alias("_low"),
-        F.col(upper).alias("_high"),
-        *[F.col(source).alias(name) for name, source in take.items()],
+        F.monotonically_increasing_id().alias("_receipt"),
+        F.struct(*[F.col(source).alias(name) for name, source in take.items()]).alias("_taken"),
+        F.array(begin, end).alias("_bounds"),
     )
-    products = [f"_p{i}" for i in range(len(on))]
-    widths = side.groupBy(*[F.col(m).alias(p) for m, p in zip(marks, products)]).agg(
-        F.greatest(F.avg(length), F.lit(1)).cast("bigint").alias("_width")
+    # Both bounds come out of one reading of a receipt, after it has its id; its columns travel with the first only.
+    bounds = numbered.select(*marks, "_receipt", "_taken", F.explode("_bounds").alias("_bound")).select(
+        *marks, "_receipt", "_bound.at", "_bound.kind", F.when(F.col("_bound.kind") <= AFTER, F.col("_taken")).alias("_taken")
     )
-    side = side.join(widths, all_of([F.col(m) == F.col(p) for m, p in zip(marks, products)])).drop(*products)
-
-    start = F.col("_low") if strict else F.greatest(F.col("_low"), F.lit(0))
-    first, last = (F.floor(x / F.col("_width")).cast("bigint") for x in (start, F.col("_high")))
-    side = _each_number(side.filter(F.col("_high") >= start), first, last, "_bucket").drop("_width")
-
-    at = F.col(position) if strict else F.greatest(F.col(position), F.lit(0))
-    own = all_of([folded(usage, k) == F.col(p) for k, p in zip(on, products)])
-    rows = usage.join(widths, own, "left").withColumn("_at", F.floor(at / F.col("_width")).cast("bigint"))
-    rows = rows.drop("_width", *products)
-    test = (F.col(position) <= F.col("_high")) & ((at > F.col("_low")) if strict else (at >= F.col("_low")))
-    keys = [folded(usage, k) == F.col(m) for k, m in zip(on, marks)]
-    joined = rows.join(side, all_of([*keys, F.col("_at") == F.col("_bucket"), test]), "left")
-    return joined.drop("_at", "_bucket", "_low", "_high", *marks)
+    points = usage.select(
+        *[folded(usage, k).alias(m) for k, m in zip(on, marks)],
+        F.col(position).alias("at"),
+        F.lit(POINT).alias("kind"),
+        F.struct(*[F.col(f"`{c}`") for c in usage.columns]).alias("_usage"),
+    )
+    merged = points.unionByName(bounds, allowMissingColumns=True)
+    order = [*[F.col(m) for m in marks], F.col("at"), F.col("kind")]
+    swept = scans.scan(merged, [], order, value=F.when(F.col("kind") == POINT, 1))
+    swept = swept.withColumn("_rank", F.coalesce(scans.total_with_row(), F.lit(0)))
+    ranges = (
+        swept.filter(F.col("kind") != POINT)
+        .groupBy("_receipt")
+        .agg(F.min("_rank").alias("_low"), F.max("_rank").alias("_high"), F.first("_taken", ignorenulls=True).alias("_taken"))
+        .filter("_high > _low")
+    )
+    supplied = _each_number(ranges, F.col("_low") + 1, F.col("_high"), "_at").select("_at", "_taken")
+    rows = swept.filter(F.col("kind") == POINT).select("_usage", "_rank")
+    joined = rows.join(supplied, F.col("_rank") == F.col("_at"), "left")
+    return joined.select("_usage.*", *[F.col(f"_taken.`{name}`").alias(name) for name in take])
 
 
 def _each_number(df: DataFrame, first: Column, last: Column, name: str) -> DataFrame:

@@ -1,69 +1,28 @@
 """Ranks, running sums and previous values over groups of any size.
 
-A window sorts a whole group in one task, so a group that holds a third of the rows
-would hold up the job. Every group is therefore cut into chunks by leading columns of
-its order, a day say: totals of the chunks, one row a group and day, give what came
-before each of them, and the window then runs inside one chunk. Rows, chunk totals and
-window share the partitioning by group and chunk. There is one plan for all sizes and no
-job while planning; the rows are read twice, so a caller writes a long lineage out first
-(``materialise``). Where an order has no such column, ``number_in_order`` numbers the
-rows by sampled ranges of the whole order instead.
-
-``chunk`` must sort like a prefix of ``order_by``: rows of an earlier chunk come
-first, and rows that tie on ``order_by`` share a chunk.
+All but ``number_few`` are prefix scans over sampled ranges of the whole order (``scan``):
+a group or a day that holds most rows lies over as many tasks as its rows need.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sellerbooks.functions.columns import all_of, folded
+from sellerbooks.functions.columns import folded
+from sellerbooks.operators import scan as scans
 from sellerbooks.session import materialise
 
-CHUNK, BEFORE = "_chunk", "_before"
-# Adds columns to rows, given what came before their chunk and a window over it.
-Step = Callable[[DataFrame, Column, WindowSpec], DataFrame]
-Carry = Callable[[Column, WindowSpec], Column]
 
+def _with(rows: DataFrame, **columns: Column) -> DataFrame:
+    return rows.withColumns(columns).drop("_local", "_carried", "_above")
 
-def _over_groups(
-    df: DataFrame, keys: Sequence[str], chunk: Sequence[Column], total: Column, carry: Carry, step: Step
-) -> DataFrame:
-    # Columns of their own, so that the join and all windows share one shuffle.
-    marks = [f"_k{i}" for i in range(len(keys))]
-    cut = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(chunk)])
-    rows = df.select("*", *[folded(df, k).alias(m) for k, m in zip(keys, marks)], cut.alias(CHUNK))
-    totals = rows.groupBy(*marks, CHUNK).agg(total.alias("_total"))
-    earlier = Window.partitionBy(*marks).orderBy(CHUNK)
-    names = [f"_g{i}" for i in range(len(keys))]
-    before = totals.select(
-        *[F.col(m).alias(n) for m, n in zip(marks, names)],
-        F.col(CHUNK).alias("_c"),
-        carry(F.col("_total"), earlier).alias(BEFORE),
-    )
-    same = all_of([F.col(m).eqNullSafe(F.col(n)) for m, n in zip(marks, names)] + [F.col(CHUNK) == F.col("_c")])
-    rows = rows.join(before, same, "left").drop("_c", *names)
-    return step(rows, F.col(BEFORE), Window.partitionBy(*marks, CHUNK)).drop(CHUNK, BEFORE, *marks)
-
-
-def _sum_before(total: Column, earlier: WindowSpec) -> Column:
-    return F.sum(total).over(earlier.rowsBetween(Window.unboundedPreceding, -1))
 
-
-def number_rows(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], name: str, chunk: Sequence[Column]
-) -> DataFrame:
+def number_rows(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], name: str) -> DataFrame:
     """``row_number`` within ``keys``."""
-
-    def step(rows, before, by):
-        return rows.withColumn(name, F.coalesce(before, F.lit(0)) + F.row_number().over(by.orderBy(*order_by)))
-
-    return _over_groups(df, keys, chunk, F.count(F.lit(1)), _sum_before, step).withColumn(
-        name, F.col(name).cast("bigint")
-    )
+    return _with(scans.scan(df, keys, order_by), **{name: scans.number()})
 
 
 def number_few(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], name: str) -> DataFrame:
@@ -72,33 +31,16 @@ def number_few(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], n
     return df.withColumn(name, F.row_number().over(window))
 
 
-def sum_before(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], value: Column, name: str, chunk: Sequence[Column]
-) -> DataFrame:
-    """Sum of ``value`` over the rows before this one; zero for the first."""
-
-    def step(rows, before, by):
-        local = F.sum("_value").over(by.orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1))
-        return rows.withColumn(name, F.coalesce(before, F.lit(0)) + F.coalesce(local, F.lit(0)))
-
-    return _over_groups(df.withColumn("_value", value), keys, chunk, F.sum("_value"), _sum_before, step).drop("_value")
-
-
-def _running(before: Column, by: WindowSpec, order_by: Sequence[Column]) -> Column:
-    """Rows that tie on ``order_by`` share one sum."""
-    local = F.sum("_value").over(by.orderBy(*order_by))
-    return F.coalesce(before + local, before, local)
+def sum_before(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], value: Column, name: str) -> DataFrame:
+    """Sum of the whole-number ``value`` over the rows before this one; zero for the first."""
+    rows = scans.scan(df.withColumn("_own", value), keys, order_by, value=F.col("_own"))
+    so_far = F.coalesce(scans.total_with_row(), F.lit(0)) - F.coalesce(F.col("_own").cast("bigint"), F.lit(0))
+    return _with(rows, **{name: so_far}).drop("_own")
 
 
-def running_sum(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], value: Column, name: str, chunk: Sequence[Column]
-) -> DataFrame:
-    """Running sum in which rows that tie on ``order_by`` share one sum."""
-
-    def step(rows, before, by):
-        return rows.withColumn(name, _running(before, by, order_by))
-
-    return _over_groups(df.withColumn("_value", value), keys, chunk, F.sum("_value"), _sum_before, step).drop("_value")
+def running_sum(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], value: Column, name: str) -> DataFrame:
+    """Running sum of a whole number in which rows that tie on ``order_by`` share one sum."""
+    return _with(scans.scan(df, keys, order_by, (), value=value), **{name: scans.running()})
 
 
 def running_and_previous(
@@ -109,53 +51,16 @@ def running_and_previous(
     value: Column,
     running: str,
     previous: str,
-    chunk: Sequence[Column],
 ) -> DataFrame:
-    """Running sum by ``order_by`` and the sum of the row before, by ``order_by`` then ``ties``.
-
-    The row before a chunk's first row carries the total of the earlier chunks,
-    so one pass over the chunk totals serves both columns.
-    """
-
-    def step(rows, before, by):
-        total_order = by.orderBy(*order_by, *ties)
-        # Numbering first sorts by the full order, which the two windows after it then share.
-        rows = rows.withColumn("_row", F.row_number().over(total_order))
-        rows = rows.withColumn(running, _running(before, by, order_by))
-        above = F.when(F.col("_row") > 1, F.lag(running).over(total_order)).otherwise(before)
-        return rows.withColumn(previous, F.coalesce(above, F.lit(0))).drop("_row")
-
-    return _over_groups(df.withColumn("_value", value), keys, chunk, F.sum("_value"), _sum_before, step).drop("_value")
+    """Running sum by ``order_by`` and the sum of the row before, by ``order_by`` then ``ties``; one scan for both."""
+    rows = scans.scan(df, keys, order_by, ties, value=value)
+    return _with(rows, **{running: scans.running(), previous: F.coalesce(scans.running_above(), F.lit(0))})
 
 
-def previous_value(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], value: str, name: str, chunk: Sequence[Column]
-) -> DataFrame:
+def previous_value(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], value: str, name: str) -> DataFrame:
     """``lag(value, 1)`` within ``keys``, zero where there is none. ``order_by`` must be total."""
-    kind = df.schema[value].dataType.simpleString()
-    last = F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order_by))
-
-    def step(rows, before, by):
-        above = F.lag(F.struct(F.col(value).alias("v"))).over(by.orderBy(*order_by))
-        found = F.coalesce(above, before.cast(f"struct<v:{kind}>"))
-        return rows.withColumn(name, F.coalesce(found["v"], F.lit(0)))
-
-    return _over_groups(df, keys, chunk, last, lambda total, earlier: F.lag(total).over(earlier), step)
-
-
-def number_in_order(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], name: str) -> DataFrame:
-    """``row_number`` within ``keys`` for an order without a chunk column: global position less the group's first.
-
-    The order over keys and ``order_by`` is cut at sampled bounds, so a group of any size spreads over tasks.
-    """
-    marks = [f"_k{i}" for i in range(len(keys))]
-    marked = df.select("*", *[folded(df, k).alias(m) for k, m in zip(keys, marks)])
-    placed = global_sequence(marked, [*[F.col(m) for m in marks], *order_by], "_position")
-    names = [f"_g{i}" for i in range(len(keys))]
-    first = placed.groupBy(*[F.col(m).alias(n) for m, n in zip(marks, names)]).agg(F.min("_position").alias("_first"))
-    same = all_of([F.col(m).eqNullSafe(F.col(n)) for m, n in zip(marks, names)])
-    rows = placed.join(first, same).withColumn(name, F.col("_position") - F.col("_first") + 1)
-    return rows.drop("_position", "_first", *marks, *names)
+    rows = scans.scan(df, keys, order_by, last=value)
+    return _with(rows, **{name: F.coalesce(F.col("_above.v"), F.lit(0))})
 
 
 def global_sequence(df: DataFrame, order_by: Sequence[Column], name: str, start: int | Column = 1) -> DataFrame:

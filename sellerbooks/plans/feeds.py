@@ -16,7 +16,7 @@ from sellerbooks.functions.columns import day_text, second_text, text_or
 from sellerbooks.operators.expand import day_spine
 from sellerbooks.operators.grouping import group_by_text, latest_per_key, least, sync_diff
 from sellerbooks.operators.joins import attach_ids, lookup, same, unpublished
-from sellerbooks.operators.ordered import batches, number_in_order
+from sellerbooks.operators.ordered import batches, number_rows
 from sellerbooks.session import materialise
 from sellerbooks.sources.publish import numbered_fields, payload, still_published
 
@@ -192,7 +192,7 @@ def order_fee_feed(
     published = still_published(published, "status", [OPEN])
     order = [F.col(c) for c in ("account_name", "order_id", "sku", "transaction_type", "group_id", "ranking")]
     rows = unpublished(fees, published, "settlement_id")
-    rows = number_in_order(rows, ["settlement_id"], order, "_row")
+    rows = number_rows(rows, ["settlement_id"], order, "_row")
     rows = rows.withColumn("batch_id", F.floor((F.col("_row") - 1) / BATCH).cast("bigint"))
     rows = _texts(
         _with_record(rows, products),

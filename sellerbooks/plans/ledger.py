@@ -13,13 +13,11 @@ from sellerbooks.operators.grouping import group_by_text, latest_value, least
 from sellerbooks.operators.joins import lookup, range_assign, same
 from sellerbooks.operators.ordered import (
     global_sequence,
-    number_in_order,
     number_rows,
     previous_value,
     running_and_previous,
     running_sum,
 )
-from sellerbooks.session import materialise
 from sellerbooks.sources.publish import map_values
 
 SKU = ("account_name", "sku")
@@ -85,7 +83,7 @@ def ledger_events(
     )
     keys = ["account_name", "msku", "disposition", "date"]
     ties = [F.col(c) for c in ("event_type", "quantity", "reference_id")]
-    ranked = number_in_order(rows, keys, ties, "ranking")
+    ranked = number_rows(rows, keys, ties, "ranking")
     newest = [F.col("date").desc(), *[F.col(c) for c in ("account_name", "msku", "disposition", "ranking")]]
     return global_sequence(ranked, newest, "id").select(
         "id",
@@ -194,15 +192,12 @@ def ledger_detail(*parts: DataFrame) -> DataFrame:
 def ledger_rolling(rows: DataFrame) -> DataFrame:
     """Units consumed so far per account and sku, and the same for the row before.
 
-    Rows of one day and order share a sum. Days cut a product into chunks, so no
-    task holds a whole product.
+    Rows of one day and order share a sum.
     """
     rows = rows.withColumn("_order", F.lower("order_id"))
     order = [F.col("date"), F.col("_order")]
     ties = [F.col(c) for c in ("asin", "order_status", "item_status", "quantity")]
-    rolled = running_and_previous(
-        rows, SKU, order, ties, -F.col("quantity"), "rolling_qty", "last_rolling_qty", [F.col("date")]
-    )
+    rolled = running_and_previous(rows, SKU, order, ties, -F.col("quantity"), "rolling_qty", "last_rolling_qty")
     return rolled.drop("_order")
 
 
@@ -224,7 +219,7 @@ def _received(po: DataFrame, active: DataFrame, arrived: Column) -> DataFrame:
         *per_unit,
     )
     order = [F.col("eta"), F.col("record_id_num")]
-    return number_rows(rows, SKU, order, "id", [F.col("eta")])
+    return number_rows(rows, SKU, order, "id")
 
 
 def receipt_rolling(po: DataFrame, active: DataFrame, products: DataFrame, start: str = START) -> DataFrame:
@@ -253,20 +248,16 @@ def receipt_rolling(po: DataFrame, active: DataFrame, products: DataFrame, start
         )
         .distinct()
     )
-    # The sum and the previous value each read these rows twice.
-    rows = materialise(receipts.unionByName(stock))
-    # NULL ids sort first, and so must their chunk.
-    chunk = [F.col("id").isNotNull(), F.col("eta")]
-    rolled = running_sum(rows, [*SKU, "asin"], [F.col("id")], F.col("qty"), "rolling_qty", chunk)
-    return previous_value(rolled, SKU, [F.col("id"), F.col("asin")], "rolling_qty", "last_rolling_qty", chunk)
+    rows = receipts.unionByName(stock)
+    # NULL ids sort first: starting stock comes before all receipts.
+    rolled = running_sum(rows, [*SKU, "asin"], [F.col("id")], F.col("qty"), "rolling_qty")
+    return previous_value(rolled, SKU, [F.col("id"), F.col("asin")], "rolling_qty", "last_rolling_qty")
 
 
 def receipt_rolling_by_sku(po: DataFrame, active: DataFrame) -> DataFrame:
     """The variant without starting stock and without a start day; sum and previous value per account and sku."""
     rows = _received(po, active, F.lit(True))
-    return running_and_previous(
-        rows, SKU, [F.col("id")], [], F.col("qty"), "rolling_qty", "last_rolling_qty", [F.col("eta")]
-    )
+    return running_and_previous(rows, SKU, [F.col("id")], [], F.col("qty"), "rolling_qty", "last_rolling_qty")
 
 
 _RECEIPT = {"fba_shipment_id": "fba_shipment_id", "po_rolling_qty": "rolling_qty", "po_last_rolling_qty": "last_rolling_qty"}

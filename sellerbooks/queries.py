@@ -217,7 +217,7 @@ class Books:
 
     @cached_property
     def return_expand(self):
-        return returns.return_expand(materialise(self.return_units))
+        return returns.return_expand(self.return_units)
 
     @cached_property
     def return_lines(self):
@@ -288,19 +288,17 @@ class Books:
 
     @cached_property
     def ledger_rolling(self):
-        return ledger.ledger_rolling(materialise(ledger.ledger_rows(*self._ledger_parts)))
+        return ledger.ledger_rolling(ledger.ledger_rows(*self._ledger_parts))
 
     @cached_property
     def fifo_assign(self):
-        # The bucket width and the join both read the receipts.
-        receipts = materialise(self.receipt_rolling)
         return ledger.fifo_assign(
-            self.ledger_rolling, self.inputs.product_records, receipts, self.inputs.order_records
+            self.ledger_rolling, self.inputs.product_records, self.receipt_rolling, self.inputs.order_records
         )
 
     @cached_property
     def fifo_assign_strict(self):
-        receipts = materialise(ledger.receipt_rolling_by_sku(self.inputs.po_records, self._active))
+        receipts = ledger.receipt_rolling_by_sku(self.inputs.po_records, self._active)
         return ledger.fifo_assign_strict(self.ledger_rolling, receipts)
 
     # Publishing

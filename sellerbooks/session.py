@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,6 +64,20 @@ def remove_stages(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package, once an application, to executors that do not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_sellerbooks_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="sellerbooks-code-")) / "sellerbooks-code.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(target))
+    context._sellerbooks_shipped = True
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

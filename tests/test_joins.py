@@ -75,7 +75,26 @@ def test_receipts_of_very_different_sizes(spark):
         assert assigned(left, right, strict) == brute(usage, receipts, strict)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_one_receipt_over_many_small_ones(spark):
+    """A receipt that spans all others, one of nothing, ranges below zero, and rows without keys or quantities."""
+    receipts = [("A", "x", f"s{i}", i, i + 1) for i in range(300)]
+    receipts += [("A", "x", "all", 0, 10**9), ("A", "x", "none", 7, 7), ("A", "x", "below", -9, -2), ("A", "x", "back", 9, 4)]
+    receipts += [(None, "x", "lost", 0, 99), ("A", "x", "open", None, 50), ("A", "x", "open", 50, None)]
+    usage = [("A", "x", i, p) for i, p in enumerate([*range(-12, 310, 3), 7, 7, 10**9, 10**9 + 1, None])]
+    left = spark.createDataFrame([*usage, (None, "x", 999, 5), ("A", None, 998, 5)], USAGE)
+    right = spark.createDataFrame(receipts, RECEIPTS)
+    known = [r for r in receipts if r[0]]
+    for strict in (False, True):
+        assert assigned(left, right, strict) == sorted(brute(usage, known, strict) + [(999, ""), (998, "")])
+
+
+def test_range_assign_without_receipts_or_usage(spark):
+    left, right = spark.createDataFrame([("A", "x", 1, 5)], USAGE), spark.createDataFrame([], RECEIPTS)
+    assert assigned(left, right, False) == [(1, "")]
+    assert assigned(left.filter("false"), right, True) == []
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(1, 60), min_size=1, max_size=12), st.lists(st.integers(-20, 500), min_size=1, max_size=20))
 def test_strict_assigns_each_positive_position_once(spark, sizes, points):
     ends = [sum(sizes[: i + 1]) for i in range(len(sizes))]

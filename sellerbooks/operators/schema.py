@@ -26,30 +26,86 @@ def _decimals(text: Column) -> Column:
     return F.when(text.contains("."), F.rtrim(after, F.lit("0"))).otherwise("")
 
 
-def _profile_struct(df: DataFrame, name: str) -> Column:
+def _state_struct(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
+    cell = F.col(f"`{name}`").cast("string")
     text = _clean(name)
     decimals = _decimals(text)
+    whole = F.substring_index(text, ".", 1)
     # Length of the number as a frame shows it: at least one digit after a point.
-    number = F.length(F.substring_index(text, ".", 1)) + 1 + F.greatest(F.length(decimals), F.lit(1))
+    number = F.length(whole) + 1 + F.greatest(F.length(decimals), F.lit(1))
+    missing = F.trim(cell).isNull() | F.trim(cell).isin("nan", "Nan")
+    is_number = text.rlike(NUMBER)
+    zero = ~missing & is_number & (text.try_cast("double") == 0)
+    fits = ~is_number | whole.isin("", "+", "-") | whole.try_cast("bigint").isNotNull()
+
+    def every(condition: Column) -> Column:
+        return F.coalesce(F.bool_and(condition), F.lit(True))
+
+    def most(size: Column) -> Column:
+        return F.coalesce(F.max(size), F.lit(0)).cast("int")
+
     return F.struct(
         F.lit(name).alias("column_name"),
         F.lit(_family(kind)).alias("family"),
-        F.coalesce(F.bool_and(text.rlike(NUMBER)), F.lit(True)).alias("is_number"),
-        F.coalesce(F.max(F.length(decimals)), F.lit(0)).alias("decimal_depth"),
-        F.coalesce(F.max(F.length(F.col(name).cast("string"))), F.lit(0)).alias("longest"),
-        F.coalesce(F.max(number), F.lit(0)).alias("number_length"),
-        F.coalesce(F.max(F.length(F.substring_index(text, ".", 1))), F.lit(0)).alias("integer_length"),
-        # One single value, which is zero or missing: a column that mixes 0 and NULL holds two.
-        _one_empty_value(F.trim(F.col(name).cast("string"))).alias("all_zero"),
+        every(is_number).alias("is_number"),
+        most(F.length(decimals)).alias("decimal_depth"),
+        most(F.length(cell)).alias("longest"),
+        most(number).alias("number_length"),
+        most(F.length(whole)).alias("integer_length"),
+        every(fits).alias("fits_long"),
+        every(missing).alias("all_missing"),
+        every(zero).alias("all_zeros"),
         F.count(F.lit(1)).alias("row_count"),
     )
 
 
-def _one_empty_value(text: Column) -> Column:
-    missing = text.isNull() | text.isin("nan", "Nan")
-    zero = ~missing & text.rlike(NUMBER) & (text.try_cast("double") == 0)
-    return F.coalesce(F.bool_and(missing), F.lit(True)) | F.coalesce(F.bool_and(zero), F.lit(False))
+# How the states of two sets of rows make the state of both.
+_EVERY = ("is_number", "fits_long", "all_missing", "all_zeros")
+_MOST = ("decimal_depth", "longest", "number_length", "integer_length")
+# The state of rows that lack a column: their cells count as missing.
+_LACKING = {"is_number": True, "fits_long": True, "all_missing": True, "all_zeros": False, "decimal_depth": 0, "longest": 0, "number_length": 3, "integer_length": 1}
+
+
+def profile_state(df: DataFrame) -> DataFrame:
+    """One row per column with all that its type depends on; one aggregation over all columns.
+
+    States of two sets of rows merge into the state of both (``merge_states``), so a table
+    that keeps its state need not be read again to profile it together with a load.
+    """
+    one_row = df.agg(F.array(*[_state_struct(df, c) for c in df.columns]).alias("states"))
+    return one_row.select(F.explode("states").alias("s")).select("s.*")
+
+
+def merge_states(stored: DataFrame, loaded: DataFrame) -> DataFrame:
+    """The state of the rows of both sides, columns matched without case; a few rows a side."""
+    names = stored.columns
+
+    def side(df: DataFrame, letter: str) -> tuple[DataFrame, DataFrame]:
+        rows = df.agg(F.max("row_count").alias(f"{letter}_rows"))
+        states = df.select(F.upper("column_name").alias("_key"), F.struct(*names).alias(letter))
+        return states, rows
+
+    (left, left_rows), (right, right_rows) = side(stored, "a"), side(loaded, "b")
+    # The sides' numbers of rows are one row each.
+    both = left.join(right, "_key", "full").join(left_rows, F.lit(True)).join(right_rows, F.lit(True))
+
+    def lacking(letter: str) -> dict[str, Column]:
+        # No rows at all lack nothing.
+        none = F.coalesce(F.col(f"{letter}_rows"), F.lit(0)) == 0
+        return {n: F.when(none, F.lit(True if n in _EVERY else 0)).otherwise(F.lit(v)) for n, v in _LACKING.items()}
+
+    def of(letter: str, name: str) -> Column:
+        return F.when(F.col(letter).isNull(), lacking(letter)[name]).otherwise(F.col(f"{letter}.{name}"))
+
+    columns = {
+        "column_name": F.coalesce("a.column_name", "b.column_name"),
+        "family": F.coalesce("a.family", "b.family"),
+        "row_count": F.coalesce("a_rows", F.lit(0)) + F.coalesce("b_rows", F.lit(0)),
+    }
+    columns |= {n: of("a", n) & of("b", n) for n in _EVERY}
+    columns |= {n: F.greatest(of("a", n), of("b", n)).cast("int") for n in _MOST}
+    return both.select(*[columns[n].alias(n) for n in names])
 
 
 def _family(kind: T.DataType) -> str:
@@ -66,7 +122,8 @@ def _target_type() -> Column:
     text = F.when(F.col("longest") > 255, "TEXT")
     for least, width in TEXT_WIDTHS:
         text = text.when(F.col("longest") >= least, f"VARCHAR({width})")
-    whole = F.when(F.col("integer_length") >= 10, "BIGINT").otherwise("INTEGER")
+    # A whole number no 64-bit integer holds stays text, digit by digit.
+    whole = F.when(~F.col("fits_long"), text).when(F.col("integer_length") >= 10, "BIGINT").otherwise("INTEGER")
     scale = F.when(F.col("decimal_depth") <= 2, "2").otherwise("4")
     precision = F.when(F.col("number_length") <= 10, "12").when(F.col("number_length") <= 20, "20")
     fraction = F.coalesce(F.concat(F.lit("NUMERIC("), precision, F.lit(","), scale, F.lit(")")), F.lit("DOUBLE"))
@@ -81,13 +138,15 @@ def _target_type() -> Column:
     )
 
 
+def profile_of(state: DataFrame) -> DataFrame:
+    """The profile that a state stands for. One single value, zero or missing, makes a column empty: 0 beside NULL are two."""
+    rows = state.withColumn("all_zero", F.col("all_missing") | F.col("all_zeros")).withColumn("target_type", _target_type())
+    return rows.select("column_name", "is_number", "decimal_depth", "longest", "row_count", "all_zero", "target_type")
+
+
 def schema_profile(df: DataFrame) -> DataFrame:
     """One row per column with its measured target type; one aggregation over all columns."""
-    one_row = df.agg(F.array(*[_profile_struct(df, c) for c in df.columns]).alias("profiles"))
-    rows = one_row.select(F.explode("profiles").alias("p")).select("p.*")
-    return rows.withColumn("target_type", _target_type()).select(
-        "column_name", "is_number", "decimal_depth", "longest", "row_count", "all_zero", "target_type"
-    )
+    return profile_of(profile_state(df))
 
 
 def _width(column: Column) -> Column:
@@ -173,54 +232,91 @@ def spark_type(measured: str) -> str:
     return next(kind for pattern, kind in _SPARK_TYPES if re.search(pattern, measured))
 
 
-def evolve_append(target: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Append rows after profiling them, widening the target where they need it and adding its missing columns.
+def widened_types(stored: DataFrame, incoming: DataFrame, target: T.StructType) -> dict[str, str]:
+    """Columns of ``target`` whose type a load changes, with the type they get; the sides are profiles."""
+    changes = {r["column_name"]: r["change"] for r in widen(stored, incoming).collect() if r["change"]}
+    return {f.name: spark_type(changes[f.name.upper()]) for f in target.fields if f.name.upper() in changes}
 
-    Both sides are profiled, one row a column, before the result is planned, as the
-    column types depend on all values. A kept column takes the loaded cells cast to its
-    own type; a widened one changes type on both sides.
+
+def shape_load(incoming: DataFrame, stored: DataFrame, target: T.StructType) -> DataFrame:
+    """Rows of a load in the columns of ``target``, then those it lacks; ``stored`` is the profile of what is stored.
+
+    Number cells pass through a decimal on their way to a whole number, so ``4.0`` is 4.
     """
-    stored = {r["column_name"].upper(): r["target_type"] for r in schema_profile(target).collect()}
-    changes = {
-        r["column_name"]: r["change"] for r in widen(schema_profile(target), schema_profile(incoming)).collect() if r["change"]
-    }
+    kinds = {r["column_name"].upper(): r["target_type"] for r in stored.collect()}
     have = {c.upper(): c for c in incoming.columns}
     filled = incoming.select(
         *[
             F.coalesce(F.col(c).cast("string"), F.lit("0")).alias(c)
-            if stored.get(c.upper()) in ZERO_FILLED and isinstance(incoming.schema[c].dataType, T.StringType)
+            if kinds.get(c.upper()) in ZERO_FILLED and isinstance(incoming.schema[c].dataType, T.StringType)
             else F.col(c)
             for c in incoming.columns
         ]
     )
-    widened = {f.name: spark_type(changes[f.name.upper()]) for f in target.schema.fields if f.name.upper() in changes}
-    shaped = target.withColumns({n: F.col(n).cast(k) for n, k in widened.items()})
-    loaded = filled.withColumns(
-        {have[f.name.upper()]: F.col(have[f.name.upper()]).try_cast(f.dataType.simpleString()) for f in shaped.schema.fields if f.name.upper() in have}
-    )
-    return shaped.unionByName(align(loaded, shaped.schema), allowMissingColumns=True)
+    cells = {}
+    for f in target.fields:
+        if f.name.upper() in have:
+            name = have[f.name.upper()]
+            kind = f.dataType.simpleString()
+            text = isinstance(incoming.schema[name].dataType, T.StringType)
+            cells[name] = number_cell(F.col(name), kind) if text else F.col(name).try_cast(kind)
+    return align(filled.withColumns(cells), target)
+
+
+def number_cell(cell: Column, kind: str) -> Column:
+    """A text cell as ``kind``; NULL where it is no such value."""
+    return (_whole_text(cell) if kind in ("int", "bigint") else cell).try_cast(kind)
+
+
+def _whole_text(cell: Column) -> Column:
+    """Number text without zeros behind the point, as a cast to a whole number wants it."""
+    text = F.trim(cell)
+    return F.when(text.rlike(r"^[+-]?[0-9]+[.]0*$"), F.substring_index(text, ".", 1)).otherwise(text)
+
+
+def evolve_append(target: DataFrame, incoming: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Append rows after profiling them, widening the target where they need it and adding its missing columns.
+
+    Column types depend on all values, so profiles, one row a column, are read before the
+    result is planned. With ``stored``, the state kept beside the target (``profile_state``),
+    the target itself is not read for that. A kept column takes the loaded cells cast to its
+    own type; a widened one changes type on both sides.
+    """
+    known = profile_of(stored) if stored is not None else schema_profile(target)
+    kinds = widened_types(known, schema_profile(incoming), target.schema)
+    shaped = target.withColumns({n: F.col(n).cast(k) for n, k in kinds.items()})
+    return shaped.unionByName(shape_load(incoming, known, shaped.schema), allowMissingColumns=True)
 
 
 def numeric_coerce(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Text columns to numbers: NULL and blanks read as 0, whole-number columns become BIGINT.
 
-    The type depends on all values, so one profile row (a few flags per column)
-    is read before the result is planned, as schema inference does.
+    The type depends on all values, so one row of state per column is read before the result
+    is planned, as schema inference does. Whole numbers too long for BIGINT become decimals of
+    38 digits or, longer still, stay text; fractions that no decimal holds become DOUBLE.
     """
     filled = df
     for c in columns:
         text = F.trim(F.col(c).cast("string"))
         filled = filled.withColumn(c, F.when(text.isNull() | text.isin("", "nan", "Nan"), "0").otherwise(text))
-    found = {r["column_name"]: r for r in schema_profile(filled.select(*columns)).collect()}
+    found = {r["column_name"]: r for r in profile_state(filled.select(*columns)).collect()}
+    cells = {}
     for c in columns:
-        if found[c]["is_number"]:
-            # Wide enough for the longest number measured, as far as a decimal goes.
-            depth = min(found[c]["decimal_depth"], 18)
-            number = f"decimal({min(38, max(found[c]['longest'], 1) + depth)},{depth})"
-            filled = filled.withColumn(c, F.col(c).cast(number))
-            if depth == 0:
-                filled = filled.withColumn(c, F.col(c).cast("bigint"))
-    return filled
+        state = found[c]
+        if not state["is_number"]:
+            continue
+        digits, depth = max(state["integer_length"], 1), state["decimal_depth"]
+        if depth == 0:
+            whole = _whole_text(F.col(c))
+            if state["fits_long"]:
+                cells[c] = whole.cast("bigint")
+            elif digits <= 38:
+                cells[c] = whole.cast("decimal(38,0)")
+        elif digits + depth <= 38:
+            cells[c] = F.col(c).cast(f"decimal({min(38, max(digits, state['longest']) + depth)},{depth})")
+        else:
+            cells[c] = F.col(c).cast("double")
+    return filled.withColumns(cells)
 
 
 def column_listing(df: DataFrame) -> list[tuple[int, str, str]]:

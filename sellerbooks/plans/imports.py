@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sellerbooks.operators.schema import schema_profile, spark_type, widen
+from sellerbooks.operators.schema import number_cell, schema_profile, spark_type, widen
 from sellerbooks.sources.records import unwrap_records
 
 
@@ -29,7 +29,7 @@ def typed(rows: DataFrame, stored: DataFrame | None = None) -> DataFrame:
         if c.upper() in numbers:
             text = F.trim(cell.cast("string"))
             cell = F.when(text.isNull() | text.isin("nan", "Nan"), "0").otherwise(text)
-        cells.append(cell.try_cast(spark_type(kinds[c.upper()])).alias(c))
+        cells.append(number_cell(cell, spark_type(kinds[c.upper()])).alias(c))
     return rows.select(*cells)
 
 

@@ -713,6 +713,35 @@ check(
     "account_name:t sku:t batch_id:i",
     batched("(SELECT account_name, seller_sku AS sku, open_date, listing_id, line_no, asin1, price FROM {all_listings})", "account_name, sku, open_date, listing_id, line_no, asin1, price"),
 )
+check("stored_import", "Record_ID_Num:i Product_Brand:t Product_Type:t", "SELECT * FROM {q_import_records}")
+check(
+    "stored_listing",
+    "outcome:t asin:t sku:t account_name:t listing_id:i refused:i",
+    """SELECT 'stored' AS outcome, asin, sku, account_name, listing_id, NULL AS refused FROM {q_latest_listing}
+UNION ALL SELECT 'refused', asin1, seller_sku, NULL, NULL, count(*) - 1 FROM {all_listings} GROUP BY asin1, seller_sku HAVING count(*) > 1""",
+)
+check(
+    "evolved_profile",
+    "column_name:t is_number:b decimal_depth:i longest:i row_count:i all_zero:b target_type:t",
+    profile("q_evolve_append", ["account_name", "sku", "asin", "list_price", "record_id"]),
+)
+check(
+    "published_days",
+    "slice_date:d amazon_order_id:t sku:t quantity:i",
+    f"""WITH o AS (SELECT *, CAST(purchase_date AS DATE) AS slice_date FROM {{all_orders}}),
+last AS (SELECT DISTINCT slice_date FROM o ORDER BY slice_date DESC LIMIT 3)
+SELECT slice_date, amazon_order_id, sku, CASE WHEN slice_date IN (SELECT slice_date FROM last) THEN 2 * quantity ELSE quantity END AS quantity
+FROM o WHERE slice_date >= DATE '{ASSIGNED_SINCE}' AND (slice_date NOT IN (SELECT slice_date FROM last) OR quantity > 10)""",
+)
+check(
+    "published_batches",
+    "batch_id:i account_name:t sku:t asin:t payload:t",
+    "SELECT batch_id, account_name, sku, asin, "
+    + json(["account_name", "sku", "asin", "list_price"])
+    + " AS payload FROM ("
+    + batched("(SELECT account_name, sku, asin, list_price FROM {product_data})", "account_name, sku, asin")
+    + ")",
+)
 check(
     "sheet_export",
     "Row_Index:t Sku:t Unit_Price:t Qty:t Completion_Date:t Customer_Ref:t Remarks:t",

@@ -36,5 +36,5 @@ def typed(rows: DataFrame, stored: DataFrame | None = None) -> DataFrame:
 def import_records(
     records: DataFrame, column: str, fields: Mapping[str, str], stored: DataFrame | None = None
 ) -> DataFrame:
-    """The rows of a record query as a typed table; ``publish.replace_table`` stores it."""
+    """The rows of a record query as a typed table; ``loads.store_import`` stores it."""
     return typed(unwrap_records(records, column, fields), stored)

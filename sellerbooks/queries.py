@@ -12,9 +12,9 @@ from sellerbooks import checks as c
 from sellerbooks.operators import grouping, joins, ordered, schema
 from sellerbooks.operators.expand import explode_refs
 from sellerbooks.operators.predicates import build_predicate
-from sellerbooks.plans import catalog, documents, feeds, finance, imports, ledger, orders, purchase_orders, returns
-from sellerbooks.session import materialise
-from sellerbooks.sources import publish, records, tables
+from sellerbooks.plans import catalog, documents, feeds, finance, imports, ledger, loads, orders, purchase_orders, returns
+from sellerbooks.session import materialise, table_folder
+from sellerbooks.sources import publish, records, stored, tables
 from sellerbooks.sources.fixtures import Inputs
 
 
@@ -202,9 +202,13 @@ class Books:
     def assign_orders(self):
         return orders.assign_orders(self.order_lines, self.fulfilled_lines, c.ASSIGNED_SINCE)
 
+    @cached_property
+    def _assigned(self):
+        return materialise(orders.assigned_lines(self.order_lines, self.fulfilled_lines, c.ASSIGNED_SINCE))
+
     @cached_property
     def repair_shipments(self):
-        return orders.repair_shipments(self.assign_orders, self._fees)
+        return orders.repair_shipments(self._assigned, self._fees)
 
     @cached_property
     def final_assigned_orders(self):
@@ -368,6 +372,43 @@ class Books:
         added = publish.append_row(sheet, {"sku": "New", "unit_price": "$1.00", "qty": "1"}, "row_index")
         return publish.sort_sheet(added, "sku", "row_index")
 
+    # Stored tables
+    @cached_property
+    def stored_import(self):
+        fields = {"3": "Record ID#", "6": "Product Brand", "7": "Product Type"}
+        return loads.store_import(self.inputs.records_raw, "record", fields, table_folder(self.spark), "imported_products")
+
+    @cached_property
+    def stored_listing(self):
+        keys = ["asin", "sku"]
+        listing = self.latest_listing.select(*keys, "account_name", "listing_id")
+        again = self.inputs.all_listings.select(F.col("asin1").alias("asin"), F.col("seller_sku").alias("sku"), "account_name", "listing_id")
+        return loads.keyed_listing(listing, again, keys, table_folder(self.spark))
+
+    @cached_property
+    def evolved_profile(self):
+        target = self.inputs.product_data.select("account_name", "sku", "asin", "list_price")
+        load = records.normalize_headers(self.inputs.remote_products, "upper").withColumnRenamed("RECORD_ID", "record_id")
+        return loads.evolved_profile(target, load, table_folder(self.spark))
+
+    @cached_property
+    def published_days(self):
+        rows = self.inputs.all_orders.select("amazon_order_id", "sku", "quantity", F.to_date("purchase_date").alias("slice_date"))
+        days = rows.select("slice_date").distinct().orderBy(F.desc("slice_date")).limit(3)
+        changed = rows.join(days, "slice_date", "left_semi").filter("quantity > 10").withColumn("quantity", F.col("quantity") * 2)
+        first = F.lit(c.ASSIGNED_SINCE).cast("date")
+        return loads.republished_days(rows, changed, "slice_date", table_folder(self.spark), first)
+
+    @cached_property
+    def published_batches(self):
+        order = ["account_name", "sku", "asin"]
+        rows = loads.payload_batches(self.inputs.product_data, publish.numbered_fields([*order, "list_price"]), order)
+        path = table_folder(self.spark)
+        # A run that got through half of its batches, then two whole ones.
+        for part in (rows.filter("batch_id % 2 = 0"), rows, rows):
+            loads.publish_batches(part, path)
+        return stored.read(self.spark, path)
+
     # Feeds
     @cached_property
     def _products(self):

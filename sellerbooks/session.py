@@ -58,6 +58,17 @@ def stage_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/sellerbooks/{spark.sparkContext.applicationId}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store the path names."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def table_folder(spark: SparkSession) -> str:
+    """A new folder among this application's stages for a table that lives as long as they do."""
+    return f"{stage_folder(spark)}/table-{uuid.uuid4().hex}"
+
+
 def remove_stages(spark: SparkSession) -> None:
     """Delete the stages this application has written, once no result needs them."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_folder(spark))

@@ -90,9 +90,14 @@ def sort_sheet(df: DataFrame, *columns: Column | str) -> DataFrame:
 
 
 def write_slices(df: DataFrame, path: str, day: str, rows_per_file: int = 1000) -> None:
-    """Publish by day: one folder per day, overwritten alone, at most ``rows_per_file`` rows a file."""
+    """Publish by day: one folder per day, overwritten alone, at most ``rows_per_file`` rows a file.
+
+    Rows of a day are brought together, so that a task writes few days; a day that holds most
+    rows is split again, as ``rebalance`` does not promise to keep it whole.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", day)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(day)
@@ -104,14 +109,6 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    df.write.mode("overwrite").saveAsTable(name)
-
-
-def append_table(df: DataFrame, name: str) -> None:
-    df.write.mode("append").option("mergeSchema", "true").saveAsTable(name)
-
-
 def log_step(spark, path: str, script: str, query: str, started, ended) -> None:
     """Append one row with the run time of a step."""
     row = spark.createDataFrame(

@@ -19,13 +19,13 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sellerbooks.functions.columns import all_of, folded
 from sellerbooks.operators import schema as schemas
+from sellerbooks.session import exists
 
 COMMIT = "number int, loads array<string>, names array<string>, kinds string, keys array<string>, state string, row_count bigint"
 
@@ -51,13 +51,9 @@ class Version:
 
 def current(spark: SparkSession, path: str) -> Version | None:
     """The last commit of a table, None where there is none."""
-    try:
-        commits = spark.read.schema(COMMIT).json(f"{path}/commits/*")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, f"{path}/commits"):
         return None
-    row = commits.orderBy(F.desc("number")).limit(1).collect()
+    row = spark.read.schema(COMMIT).json(f"{path}/commits/*").orderBy(F.desc("number")).limit(1).collect()
     if not row:
         return None
     r = row[0]

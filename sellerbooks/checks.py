@@ -713,6 +713,14 @@ check(
     "account_name:t sku:t batch_id:i",
     batched("(SELECT account_name, seller_sku AS sku, open_date, listing_id, line_no, asin1, price FROM {all_listings})", "account_name, sku, open_date, listing_id, line_no, asin1, price"),
 )
+check(
+    "upsert_changes",
+    "outcome:t account_name:t sku:t asin:t list_price:n itemname:t",
+    f"""SELECT CASE WHEN sku LIKE '%1' THEN 'deleted' WHEN size % 3 = 0 THEN 'changed' ELSE 'unchanged' END AS outcome, account_name, sku, asin,
+  CASE WHEN sku NOT LIKE '%1' AND size % 3 = 0 THEN list_price + 1 ELSE list_price END AS list_price, itemname FROM {{product_data}}
+UNION ALL SELECT 'created', account_name, sku, asin, price, NULL FROM {{q_latest_listing}} l
+WHERE NOT EXISTS (SELECT 1 FROM {{product_data}} p WHERE {eq('l', 'p', 'account_name', 'sku', 'asin')})""",
+)
 check("stored_import", "Record_ID_Num:i Product_Brand:t Product_Type:t", "SELECT * FROM {q_import_records}")
 check(
     "stored_listing",

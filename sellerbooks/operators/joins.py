@@ -87,6 +87,50 @@ def replace_rows(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> Data
     return kept.unionByName(new, allowMissingColumns=True)
 
 
+def change_set(target: DataFrame, new: DataFrame, keys: Sequence[str], delete_missing: bool = False) -> DataFrame:
+    """Each key, ignoring case, with the ``outcome`` of an upsert: created, changed, unchanged or deleted.
+
+    One full join by key compares the columns of ``new`` that the target has, NULLs being
+    equal. Rows show the new values, those that go the old ones; columns the load lacks keep
+    theirs. A key must be unique on both sides, as ``sources.stored`` enforces. Without
+    ``delete_missing`` target rows that the load does not name are unchanged. NULL keys are equal.
+    """
+    marks = [f"_k{i}" for i in range(len(keys))]
+    taken = [c for c in new.columns if c in target.columns]
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*[folded(df, k).alias(f"{name}{m}") for k, m in zip(keys, marks)], F.struct(*df.columns).alias(name))
+
+    same_key = all_of([F.col(f"old{m}").eqNullSafe(F.col(f"new{m}")) for m in marks])
+    both = side(target, "old").join(side(new, "new"), same_key, "full")
+    equal = all_of([F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in taken])
+    outcome = (
+        F.when(F.col("old").isNull(), "created")
+        .when(F.col("new").isNull(), "deleted" if delete_missing else "unchanged")
+        .when(equal, "unchanged")
+        .otherwise("changed")
+    )
+    cells = []
+    for c in [*target.columns, *[c for c in new.columns if c not in target.columns]]:
+        if c not in new.columns:
+            cells.append(F.col(f"old.{c}").alias(c))
+        elif c not in target.columns:
+            cells.append(F.col(f"new.{c}").alias(c))
+        else:
+            cells.append(F.when(F.col("new").isNull(), F.col(f"old.{c}")).otherwise(F.col(f"new.{c}")).alias(c))
+    return both.select(outcome.alias("outcome"), *cells)
+
+
+def to_write(changes: DataFrame) -> DataFrame:
+    """The rows of a change set that a sink must take: created and changed ones."""
+    return changes.filter(F.col("outcome").isin("created", "changed")).drop("outcome")
+
+
+def apply_changes(changes: DataFrame) -> DataFrame:
+    """The target after an upsert."""
+    return changes.filter("outcome <> 'deleted'").drop("outcome")
+
+
 def range_assign(
     usage: DataFrame,
     receipts: DataFrame,

@@ -343,6 +343,18 @@ class Books:
         new = self.latest_listing.select(*keys, F.col("price").alias("list_price"))
         return joins.replace_rows(target, new, keys)
 
+    @cached_property
+    def upsert_changes(self):
+        """Products as they come back: a tenth is gone, a price in three has changed, and listings without a product are new."""
+        keys = ["account_name", "sku", "asin"]
+        products = self.inputs.product_data
+        price = F.when(F.col("size") % 3 == 0, F.col("list_price") + 1).otherwise(F.col("list_price"))
+        back = products.filter("sku NOT LIKE '%1'").select(*keys, price.cast("decimal(12,2)").alias("list_price"))
+        target = products.select(*keys, "list_price", "itemname")
+        listed = self.latest_listing.select(*keys, F.col("price").alias("list_price"))
+        created = joins.lookup(listed, target, joins.same(*keys), how="left_anti")
+        return joins.change_set(target, back.unionByName(created), keys, delete_missing=True)
+
     @cached_property
     def payload_json(self):
         columns = ["account_name", "sku", "asin", "itemname", "list_price", "size"]

@@ -163,3 +163,19 @@ def test_group_in_two_steps_ignores_case(spark):
     assert sorted(map(tuple, out.collect()), key=repr) == sorted(
         [("A", "X", 3, 1, 2, 2), ("B", "x", 4, 4, 4, 1), (None, "X", 24, 8, 16, 2)], key=repr
     )
+
+
+def test_change_set_tells_what_an_upsert_does(spark):
+    target = spark.createDataFrame([("A", 1, "x"), ("b", 2, None), ("c", None, "z"), (None, 4, "w")], "k string, v int, note string")
+    new = spark.createDataFrame([("a", 1), ("B", 3), ("c", None), ("d", 9), (None, 5)], "k string, v int")
+    out = joins.change_set(target, new, ["k"])
+    rows = {(r["k"] or "").lower(): (r["outcome"], r["v"], r["note"]) for r in out.collect()}
+    # The spelling of the key is a value, too.
+    assert rows == {"a": ("changed", 1, "x"), "b": ("changed", 3, None), "c": ("unchanged", None, "z"), "d": ("created", 9, None), "": ("changed", 5, "w")}
+    assert sorted(r["v"] for r in joins.to_write(out).collect()) == [1, 3, 5, 9]
+    part = new.filter("k = 'd'")
+    kept = joins.change_set(target, part, ["k"])
+    assert {r["outcome"] for r in kept.filter("k <> 'd' OR k IS NULL").collect()} == {"unchanged"}
+    gone = joins.change_set(target, part, ["k"], delete_missing=True)
+    assert joins.apply_changes(gone).collect()[0]["k"] == "d" and gone.filter("outcome = 'deleted'").count() == 4
+    assert joins.change_set(target, new.filter("false"), ["k"]).filter("outcome <> 'unchanged'").count() == 0

@@ -10,8 +10,9 @@ then row and line) stays, every other one is removed.
 
 Defined cases: a NULL text has no lines and stays NULL; blank lines are never
 removed; a NULL source counts as one site of its own; equal rows are separate
-documents; a document may lose all its lines and then keeps an empty text; other
-columns pass through. Only DataFrame functions are used.
+documents; a document may lose all its lines and then keeps an empty text; a very long text
+is taken whole, in time that grows with its length; an empty table gives an empty result;
+other columns pass through. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -81,9 +82,10 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     whole = F.col("doc.text")
     lines = _lines(whole)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), whole).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    )
+    # The text is split once a document: a lambda over an array of one struct names its parts, so a text of many lines costs its length.
+    parts = F.array(F.struct(lines.alias("lines"), kept.alias("kept")))
+    joined = F.transform(parts, lambda p: F.array_join(F.transform(p["kept"], lambda i: F.get(p["lines"], i)), "\n"))
+    text = F.when(F.col("_gone").isNull(), whole).otherwise(F.get(joined, F.lit(0)))
     lines_in = F.when(F.coalesce(F.length(whole), F.lit(0)) == 0, 0).otherwise(F.size(lines))
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     return rows.select(

@@ -61,7 +61,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+    spans = F.size("removed").cast("long").alias("n_spans")
+    # After the contract's columns: what is left of the text.
+    kept = (F.col("n_bytes") - F.col("n_removed")).alias("kept_bytes")
+    return found.select("doc_id", "n_bytes", "n_removed", spans, "kept_sha256", kept)
 
 
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

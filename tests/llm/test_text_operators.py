@@ -215,3 +215,12 @@ def test_posting_links_agree_whatever_the_size(monkeypatch, pairwise):
         x, y = find(place[u]), find(place[v])
         root[max(x, y)] = min(x, y)
     assert [find(i) for i in range(len(values))] == brute_components([int(v) for v in values])
+
+
+def test_a_text_of_very_many_lines_loses_only_its_boilerplate(documents):
+    """One line goes out of 30,000; the text is split once, so this takes no longer than keeping all of them."""
+    long = "\n".join(["menu", *[f"line {k}" for k in range(30_000)], ""])
+    rows = [(i, f"menu\nown {i}", f"s{i}") for i in range(12)] + [(100, long, "s1")]
+    kept = {r["doc_id"]: r for r in lines.dedup_lines(documents(rows)).filter("doc_id IN (0, 100)").collect()}
+    assert kept[100]["text"] == long.removeprefix("menu\n") and kept[100]["n_removed"] == 1
+    assert kept[0]["text"] == "menu\nown 0"

@@ -92,6 +92,7 @@ def sort_sheet(df: DataFrame, *columns: Column | str) -> DataFrame:
 def write_slices(df: DataFrame, path: str, day: str, rows_per_file: int = 1000) -> None:
     """Publish by day: one folder per day, overwritten alone, at most ``rows_per_file`` rows a file.
 
+    Only days that ``df`` has rows of are touched; a day that has lost all its rows stays as it was.
     Rows of a day are brought together, so that a task writes few days; a day that holds most
     rows is split again, as ``rebalance`` does not promise to keep it whole.
     """

@@ -406,9 +406,11 @@ class Books:
     @cached_property
     def published_days(self):
         rows = self.inputs.all_orders.select("amazon_order_id", "sku", "quantity", F.to_date("purchase_date").alias("slice_date"))
+        # As the sales feed does, days are published from the start of the assigned orders on.
+        first = F.lit(c.ASSIGNED_SINCE).cast("date")
+        rows = rows.filter(F.col("slice_date") >= first)
         days = rows.select("slice_date").distinct().orderBy(F.desc("slice_date")).limit(3)
         changed = rows.join(days, "slice_date", "left_semi").withColumn("quantity", F.col("quantity") * 2)
-        first = F.lit(c.ASSIGNED_SINCE).cast("date")
         return loads.republished_days(rows, changed, "slice_date", table_folder(self.spark), first)
 
     @cached_property

@@ -16,9 +16,16 @@ windows, so its memory follows the longest record.
 Archives go to the shared folder through ``pyarrow.fs``, which opens the URIs that
 Spark's shared folder commonly has (local, hdfs, s3, gs).
 
+Rows are numbered once and written before any of them is compared, so a record and the
+revisits that name it agree on its number whatever cores come or go in between. The
+reader counts the records of each archive against the manifest: ``read_archives`` adds a
+row of kind 'short' where they differ, ``round_trip`` fails.
+
 Defined cases: a NULL payload is empty; a NULL page_id stays NULL and a NULL url is
 left out of the header; equal rows are separate records; line breaks inside a url are
-percent-encoded; an empty table gives an empty manifest.
+percent-encoded; a very long payload is one record, held whole by its task; an empty
+table gives an empty manifest; columns other than page_id, url and html, whatever their
+names, are not read.
 """
 
 from __future__ import annotations
@@ -41,7 +48,6 @@ from sellerbooks.session import materialise, stage_folder
 REVISIT_BYTES = 1000
 ARCHIVE_BYTES = 8 << 20
 WINDOW = 1 << 16
-MAX_HEADER = 1 << 20
 #: Fixed values of the format.
 VERSION = b"WARC/1.1"
 MAGIC = b"\x1f\x8b\x08"
@@ -144,22 +150,25 @@ def mark_revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"),
     )
-    rows = rows.withColumn("size", F.octet_length("payload").cast("long")).withColumn("digest", F.sha1("payload"))
-    long = rows.filter(F.col("size") >= least)
-    # Fixed-width state per digest; only digests that occur twice meet the payloads again.
+    sized = rows.withColumn("size", F.octet_length("payload").cast("long")).withColumn("digest", F.sha1("payload"))
+    rows = materialise(sized)
+    # Of fixed width, and read without the payloads.
+    long = rows.filter(F.col("size") >= least).select(ROW, "page_id", "digest")
     repeated = (
         long.groupBy("digest")
         .agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("page_id", ROW)).alias("keeper"))
         .filter("n > 1")
-        .select(F.col("digest").alias("d"), "keeper")
     )
-    joined = rows.join(repeated, (F.col("digest") == F.col("d")) & (F.col("size") >= least), "left")
-    revisit = F.col("keeper").isNotNull() & (F.col(f"keeper.{ROW}") != F.col(ROW))
+    revisits = (
+        long.join(repeated, "digest")
+        .filter(F.col(f"keeper.{ROW}") != F.col(ROW))
+        .select(F.col(ROW).alias("_revisit"), F.col(f"keeper.{ROW}").alias("keeper_row"), F.col("keeper.page_id").alias("keeper_page"))
+    )
+    # By row, not by digest: the copies of one page lie in as many tasks as all rows do.
+    joined = rows.join(revisits, F.col(ROW) == F.col("_revisit"), "left")
     return joined.select(
-        ROW, "page_id", "url", "size", "digest",
-        F.when(revisit, F.col(f"keeper.{ROW}")).alias("keeper_row"),
-        F.when(revisit, F.col("keeper.page_id")).alias("keeper_page"),
-        F.when(revisit, F.lit("")).otherwise(F.col("payload")).alias("payload"),
+        ROW, "page_id", "url", "size", "digest", "keeper_row", "keeper_page",
+        F.when(F.col("_revisit").isNotNull(), F.lit("")).otherwise(F.col("payload")).alias("payload"),
     )
 
 
@@ -181,19 +190,36 @@ class Archive:
 
     def __init__(self, source):
         self.source, self.size = source, source.size()
+        self.found: dict[bytes, tuple[int, int]] = {}
+        self.window = (-1, b"")
 
     def at(self, offset: int, size: int) -> bytes:
         return self.source.read_at(min(size, max(0, self.size - offset)), offset) if offset < self.size else b""
 
+    def _window(self, number: int) -> bytes:
+        """One of the archive's windows with the start of the next, for matches across its end; the last one is kept."""
+        if self.window[0] != number:
+            self.window = number, self.at(number * WINDOW, WINDOW + len(MAGIC + VERSION))
+        return self.window[1]
+
     def find(self, needle: bytes, offset: int) -> int:
-        """The next place of ``needle`` at or after ``offset``, or -1."""
-        while offset < self.size:
-            window = self.at(offset, WINDOW + len(needle) - 1)
-            place = window.find(needle)
+        """The next place of ``needle``, no longer than a version line, at or after ``offset``, or -1.
+
+        The last answer is kept, so that searches from rising offsets read the archive once.
+        """
+        if needle in self.found:
+            since, place = self.found[needle]
+            if since <= offset and (place < 0 or offset <= place):
+                return place
+        place = -1
+        for number in range(offset // WINDOW, -(-self.size // WINDOW)):
+            start = number * WINDOW
+            place = self._window(number).find(needle, max(0, offset - start))
             if place >= 0:
-                return offset + place
-            offset += WINDOW
-        return -1
+                place += start
+                break
+        self.found[needle] = (offset, place)
+        return place
 
     def member(self, offset: int) -> tuple[bytes, int]:
         """The content of the gzip member at ``offset`` and where it ends; its checksum has been verified."""
@@ -269,18 +295,14 @@ def _read_one(archive: Archive, offset: int, squeezed: bool):
     if squeezed:
         content, end = archive.member(offset)
         return parse_record(content), end
-    head, stop = b"", -1
-    while stop < 0:
-        window = archive.at(offset + len(head), WINDOW)
-        if not window or len(head) > MAX_HEADER:
-            raise _Broken("header does not end")
-        head += window
-        stop = head.find(b"\r\n\r\n")
-        if not head.startswith(b"WARC/1."):
-            raise _Broken("no version line")
-    fields = parse_header(head[:stop])
+    if not archive.at(offset, 7).startswith(b"WARC/1."):
+        raise _Broken("no version line")
+    stop = archive.find(b"\r\n\r\n", offset)
+    if stop < 0:
+        raise _Broken("header does not end")
+    fields = parse_header(archive.at(offset, stop - offset))
     length = int(fields["content-length"])
-    start = offset + stop + 4
+    start = stop + 4
     if start + length + 4 > archive.size or archive.at(start + length, 4) != b"\r\n\r\n":
         raise _Broken("block length differs")
     return (fields, *check_block(fields, archive.at(start, length))), start + length + 4
@@ -311,7 +333,7 @@ def salvage(archive: Archive) -> Iterator[tuple]:
         yield "gap", bad, archive.size, reason
 
 
-def _reader(folder_uri: str, with_payload: bool):
+def _reader(folder_uri: str, with_payload: bool, whole: bool):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, _ = open_folder(folder_uri)
         rows: list[tuple] = []
@@ -326,7 +348,8 @@ def _reader(folder_uri: str, with_payload: bool):
             return batch
 
         for batch in batches:
-            for path in batch.column("path").to_pylist():
+            for path, stated in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist()):
+                count = 0
                 with fs.open_input_file(path) as source:
                     for kind, start, end, what in salvage(Archive(source)):
                         if kind == "gap":
@@ -341,28 +364,37 @@ def _reader(folder_uri: str, with_payload: bool):
                                 )
                             )
                             held += size * with_payload
+                            count += 1
                         if len(rows) >= 10_000 or held >= ARCHIVE_BYTES:
                             yield flush()
+                if stated is not None and count != stated:
+                    reason = f"{count} of {stated} records"
+                    if whole:
+                        raise RuntimeError(f"{path}: {reason}")
+                    rows.append((path, 0, 0, "short", *[None] * 7, reason))
         if rows:
             yield flush()
 
     return read
 
 
-def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
-    """Records (kind 'record') and quarantined gaps (kind 'gap') of the archives in ``manifest`` (column path).
+def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True, whole: bool = False) -> DataFrame:
+    """Records (kind 'record'), quarantined gaps (kind 'gap') and archives with another number of records than stated (kind 'short').
 
-    ``folder`` names their file system. Archives are dealt out at random, a few to a task.
+    ``manifest`` has a column path, and records where their number is known; ``folder``
+    names their file system. With ``whole`` a short archive fails the job. Archives are
+    dealt out at random, a few to a task.
     """
-    spread = manifest.select("path").repartition(manifest.sparkSession.sparkContext.defaultParallelism * 4)
-    return spread.mapInArrow(_reader(folder, with_payload), RECORDS)
+    stated = F.col("records") if "records" in manifest.columns else F.lit(None)
+    paths = manifest.select("path", stated.cast("long").alias("records"))
+    tasks = manifest.sparkSession.sparkContext.defaultParallelism * 4
+    return paths.repartition(tasks).mapInArrow(_reader(folder, with_payload, whole), RECORDS)
 
 
 def round_trip(pages: DataFrame, with_payload: bool = False) -> DataFrame:
-    """Write ``pages`` to archives and read those back."""
-    spark = pages.sparkSession
-    folder = stage_folder(spark)
-    return read_archives(write_archives(pages), folder, with_payload)
+    """Write ``pages`` to archives and read those back, every record of them."""
+    folder = stage_folder(pages.sparkSession)
+    return read_archives(write_archives(pages), folder, with_payload, whole=True)
 
 
 #: The same result in check SQL.

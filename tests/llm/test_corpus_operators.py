@@ -102,6 +102,37 @@ def test_salvage_after_damage(squeezed):
     assert ids == [0, 1, 2, 3, 5, 6, 7] and len(gaps) == 2 and gaps[0] == (starts[1], starts[1] + len(noise))
 
 
+def test_plain_record_with_a_very_long_header():
+    url = "http://x/" + "a" * (3 << 20)
+    payload = b"payload"
+    long = warc.build_record(1, 1, url, payload, len(payload), hashlib.sha1(payload).hexdigest(), None)
+    assert read_back(records(1)[0] + long + records(3)[2]) == ([0, 1, 2], [])
+
+
+def test_headers_that_never_end_are_searched_once():
+    """Many version lines without an end of header: one gap, in time that follows the bytes."""
+    whole = records(1)[0] + b"WARC/1.1\r\nno end " * 100_000
+    archive = warc.Archive(pa.PythonFile(io.BytesIO(whole), mode="r"))
+    reads = []
+    at = archive.at
+    archive.at = lambda offset, size: reads.append(size) or at(offset, size)
+    parts = list(warc.salvage(archive))
+    assert [p[0] for p in parts] == ["record", "gap"] and parts[1][2] == len(whole)
+    assert sum(size for size in reads if size > 100) < 4 * len(whole) + 20 * warc.WINDOW
+
+
+def test_lost_records_are_noticed(spark):
+    written = warc.write_archives(pages(spark, [(i, "u", f"page {i}") for i in range(40)]))
+    folder = warc.stage_folder(spark)
+    manifest = written.withColumn("records", F.col("records") + 1)
+    shorts = warc.read_archives(manifest, folder).filter("kind = 'short'").collect()
+    assert len(shorts) == written.count() and all(r["reason"].endswith("records") for r in shorts)
+    with pytest.raises(Exception, match="of [0-9]+ records"):
+        warc.read_archives(manifest, folder, whole=True).count()
+    assert warc.read_archives(written, folder, whole=True).count() == 40
+    assert warc.read_archives(written.select("path"), folder).count() == 40
+
+
 # Mixing
 
 

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from sellerbooks.llm import lines, mixing, repeats, simhash
+from sellerbooks.llm import lines, mixing, repeats, simhash, warc
 
 CORES = "spark.sql.leafNodeDefaultParallelism"
 
@@ -25,11 +25,17 @@ def files(spark, documents, tmp_path):
     spark.conf.unset(CORES)
 
 
+def archived(files):
+    """The last line of each text, long enough to be stored once, as a page."""
+    return warc.round_trip(files.selectExpr("doc_id page_id", "source url", "repeat(split(text, '\\n')[2], 400) html"))
+
+
 STEPS = {
     "lines": (lines, lines.dedup_lines, ("doc_id", "text", "n_removed")),
     "simhash": (simhash, simhash.one_of_each_group, ("doc_id", "text")),
     "mixing": (mixing, mixing.mixed_documents, ("doc_id", "text")),
     "repeats": (repeats, repeats.remove_repeats, ("doc_id", "n_bytes", "n_removed", "kept_sha256")),
+    "warc": (warc, archived, ("page_id", "record_type", "refers_to")),
 }
 
 

@@ -211,6 +211,13 @@ check(
     """SELECT json_extract_string(record, '$."3"."value"') AS Record_ID_Num, json_extract_string(record, '$."6"."value"') AS Product_Brand,
   json_extract_string(record, '$."7"."value"') AS Product_Type FROM {records_raw}""",
 )
+check(
+    "saved_report",
+    "Record_ID_Num:i Is_Even:b Product_Brand:t List_Price:n Due_Day:d",
+    """SELECT CAST(json_extract_string(record, '$."3"."value"') AS BIGINT) AS Record_ID_Num, CAST(json_extract_string(record, '$."9"."value"') AS BOOLEAN) AS Is_Even,
+  json_extract_string(record, '$."6"."value"') AS Product_Brand, CAST(json_extract_string(record, '$."7"."value"') AS DECIMAL(12,2)) AS List_Price,
+  CAST(nullif(json_extract_string(record, '$."8"."value"'), '') AS DATE) AS Due_Day FROM {report_rows}""",
+)
 check(
     "import_records",
     "Record_ID_Num:i Product_Brand:t Product_Type:t",
@@ -1005,22 +1012,39 @@ check(
     "row_index:i sku:t reference:t",
     """SELECT row_index, sku, trim(unnest(CASE WHEN contains(customer_ref, ',') THEN string_split(customer_ref, ',') ELSE string_split(customer_ref, '|') END)) AS reference FROM {sheet_po}""",
 )
-check(
-    "document_links",
-    "document_type:t record_id:i fba_shipment_id:t cost_name:t url:t",
-    " UNION ALL ".join(
-        [
-            links(
-                "COGS", "p.record_id_num", "p.fba_shipment_id", "k.cost_name", "0", "k.letter",
-                """{sheet_cogs} r JOIN {po_records} p ON lower(p.container_num) = lower(trim(r.container_num)) AND lower(p.sku) = lower(trim(r.sku))
+
+
+def document_rows(cogs: str, refs: str, freight: str) -> str:
+    parts = [
+        links(
+            "COGS", "p.record_id_num", "p.fba_shipment_id", "k.cost_name", "0", "k.letter",
+            cogs + """ r JOIN {po_records} p ON lower(p.container_num) = lower(trim(r.container_num)) AND lower(p.sku) = lower(trim(r.sku))
   AND lower(p.asin) = lower(trim(r.asin)) AND CAST(p.qty AS VARCHAR) = trim(r.qty)
 CROSS JOIN (VALUES ('DUTIES', 'G'), ('CUSTOMS_FEES', 'J'), ('DEMURRAGE', 'K'), ('CONTAINER_COST', 'R'), ('TRUCKING_COST', 'S')) AS k(cost_name, letter)""",
-            ),
-            links("Freight Out", "NULL", "r.reference", "NULL", "1", "'I'", "{q_split_refs} r"),
-            links("Freight In", "p.record_id_num", "NULL", "NULL", "2", "'H'", "{sheet_freight} r JOIN {po_records} p ON lower(p.container_num) = lower(r.customer_ref)"),
-        ]
-    ),
+        ),
+        links("Freight Out", "NULL", "r.reference", "NULL", "1", "'I'", refs + " r"),
+        links("Freight In", "p.record_id_num", "NULL", "NULL", "2", "'H'", freight + " r JOIN {po_records} p ON lower(p.container_num) = lower(r.customer_ref)"),
+    ]
+    return " UNION ALL ".join(parts)
+
+
+DOCUMENT_COLUMNS = "document_type:t record_id:i fba_shipment_id:t cost_name:t url:t"
+check("document_links", DOCUMENT_COLUMNS, document_rows("{sheet_cogs}", "{q_split_refs}", "{sheet_freight}"))
+
+# The same sheets with rows numbered by their order in the file.
+check(
+    "sheet_cogs_numbered",
+    "",
+    """SELECT * REPLACE (row_number() OVER (ORDER BY row_index, container_num, sku, asin, qty, duties NULLS FIRST) - 1 AS row_index) FROM {sheet_cogs}""",
+)
+check(
+    "sheet_refs_numbered",
+    "",
+    """SELECT row_index, trim(unnest(CASE WHEN contains(customer_ref, ',') THEN string_split(customer_ref, ',') ELSE string_split(customer_ref, '|') END)) AS reference
+FROM (SELECT customer_ref, row_number() OVER (ORDER BY row_index) - 1 AS row_index FROM {sheet_po})""",
 )
+check("sheet_freight_numbered", "", "SELECT customer_ref, row_number() OVER (ORDER BY row_index) - 1 AS row_index FROM {sheet_freight}")
+check("sheet_links", DOCUMENT_COLUMNS, document_rows("{q_sheet_cogs_numbered}", "{q_sheet_refs_numbered}", "{q_sheet_freight_numbered}"))
 
 KINDS = {
     "t": "CAST({c} AS VARCHAR)",

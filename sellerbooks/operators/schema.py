@@ -288,8 +288,14 @@ def evolve_append(target: DataFrame, incoming: DataFrame, stored: DataFrame | No
     return shaped.unionByName(shape_load(incoming, known, shaped.schema), allowMissingColumns=True)
 
 
-def numeric_coerce(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Text columns to numbers: NULL and blanks read as 0, whole-number columns become BIGINT.
+def _no_number(cell: Column) -> Column:
+    """Whether a cell holds nothing where a number is expected."""
+    text = F.trim(cell.cast("string"))
+    return text.isNull() | text.isin("", "nan", "Nan")
+
+
+def numeric_coerce(df: DataFrame, columns: Sequence[str], keep_missing: bool = False) -> DataFrame:
+    """Text columns to numbers: NULL and blanks read as 0 (NULL with ``keep_missing``), whole-number columns become BIGINT.
 
     The type depends on all values, so one row of state per column is read before the result
     is planned, as schema inference does. Whole numbers too long for BIGINT become decimals of
@@ -298,7 +304,7 @@ def numeric_coerce(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     filled = df
     for c in columns:
         text = F.trim(F.col(c).cast("string"))
-        filled = filled.withColumn(c, F.when(text.isNull() | text.isin("", "nan", "Nan"), "0").otherwise(text))
+        filled = filled.withColumn(c, F.when(_no_number(F.col(c)), "0").otherwise(text))
     found = {r["column_name"]: r for r in profile_state(filled.select(*columns)).collect()}
     cells = {}
     for c in columns:
@@ -316,6 +322,9 @@ def numeric_coerce(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             cells[c] = F.col(c).cast(f"decimal({min(38, max(digits, state['longest']) + depth)},{depth})")
         else:
             cells[c] = F.col(c).cast("double")
+    if keep_missing:
+        filled = df
+        cells = {c: F.when(~_no_number(F.col(c)), cell) for c, cell in cells.items()}
     return filled.withColumns(cells)
 
 

@@ -49,6 +49,17 @@ class Books:
         fields = {"3": "Record ID#", "6": "Product Brand", "7": "Product Type"}
         return records.unwrap_records(self.inputs.records_raw, "record", fields)
 
+    @cached_property
+    def saved_report(self):
+        """Pages of at most 1000 rows, each a response with its own list of fields."""
+        fields = '{"id":3,"label":"Record ID#","type":"recordid"},{"id":9,"label":"Is Even","type":"checkbox"},{"id":6,"label":"Product Brand","type":"text"},'
+        fields += '{"id":7,"label":"List Price","type":"currency"},{"id":8,"label":"Due Day","type":"date"}'
+        page = F.concat(F.lit('{"data":['), F.concat_ws(",", F.collect_list("record")), F.lit(f'],"fields":[{fields}]}}'))
+        pages = self.inputs.report_rows.groupBy(F.floor(F.col("record_id") / 1000).alias("page")).agg(page.alias("value"))
+        path = table_folder(self.spark)
+        pages.select("value").write.text(path)
+        return records.read_typed_report(self.spark, path, pages_as_lines=True)
+
     @cached_property
     def import_records(self):
         fields = {"3": "Record ID#", "6": "Product Brand", "7": "Product Type"}
@@ -515,6 +526,19 @@ class Books:
             self.inputs.sheet_cogs, self.inputs.po_records, self.inputs.sheet_po, self.inputs.sheet_freight, c.SHEET_BASE
         )
 
+    def _exported(self, sheet: DataFrame) -> DataFrame:
+        """A sheet written as CSV in its order and read again, its rows numbered where they are read."""
+        order = ["row_index", *[x for x in sheet.columns if x != "row_index"]]
+        path = table_folder(self.spark)
+        publish.write_csv(sheet.orderBy(*order).drop("row_index"), path)
+        return records.read_numbered_sheet(self.spark, path)
+
+    @cached_property
+    def sheet_links(self):
+        i = self.inputs
+        cogs, refs, freight = [self._exported(s) for s in (i.sheet_cogs, i.sheet_po, i.sheet_freight)]
+        return documents.document_links(cogs, i.po_records, refs, freight, c.SHEET_BASE)
+
 
 _CASTS = {
     "t": lambda col: col.cast("string"),

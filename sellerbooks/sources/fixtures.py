@@ -136,6 +136,13 @@ FROM {inventory}""",
     "records_raw": """
 SELECT p_partkey AS record_id, concat('{{"3":{{"value":"', CAST(p_partkey AS STRING), '"}},"6":{{"value":"', p_brand, '"}},"7":{{"value":',
        CASE WHEN p_partkey % 9 = 0 THEN 'null' ELSE concat('"', p_type, '"') END, '}}}}') AS record
+FROM {part}""",
+    # Rows of a saved report, a field of each type; cells are missing, blank, numbers, days and flags.
+    "report_rows": """
+SELECT p_partkey AS record_id, concat('{{"3":{{"value":', CAST(p_partkey AS STRING), '}},"6":{{"value":"', p_brand, '"}},"7":{{"value":',
+       CASE WHEN p_partkey % 9 = 0 THEN 'null' ELSE CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING) END, '}},"8":{{"value":"',
+       CASE WHEN p_partkey % 7 = 0 THEN '' ELSE concat('20', CAST(10 + p_size % 15 AS STRING), '-0', CAST(1 + p_size % 9 AS STRING), '-1', CAST(p_size % 9 AS STRING)) END,
+       '"}},"9":{{"value":', CASE WHEN p_size % 2 = 0 THEN 'true' ELSE 'false' END, '}}}}') AS record
 FROM {part}""",
     "sheet_cogs": """
 SELECT l_orderkey * 10 + l_linenumber AS row_index, concat(CASE WHEN l_orderkey % 3 = 0 THEN ' C' ELSE ' D' END, CAST(l_suppkey AS STRING), ' ') AS container_num, concat('Sku-', CAST(l_partkey AS STRING), ' ') AS sku,

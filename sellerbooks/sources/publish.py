@@ -107,7 +107,8 @@ def write_slices(df: DataFrame, path: str, day: str, rows_per_file: int = 1000)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+    """Cells as they are: blanks at the ends of a cell stay."""
+    df.write.mode("overwrite").csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def log_step(spark, path: str, script: str, query: str, started, ended) -> None:

@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sellerbooks.operators.schema import numeric_coerce
+from sellerbooks.session import materialise
+
 CELL = "map<string,struct<value:string>>"
+# Cells that keep the type they have in the response.
+TYPED_CELL = "map<string,struct<value:variant>>"
+# The field types of a report whose cells are not text.
+NUMBERS = ("numeric", "currency", "percent", "rating", "recordid")
+DAYS, TIMES, FLAGS = ("date",), ("datetime", "timestamp"), ("checkbox",)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -24,6 +32,56 @@ def read_report(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, st
     return response.select(F.explode("data").alias("record")), {str(r["id"]): r["label"] for r in labels}
 
 
+def read_typed_report(spark: SparkSession, path: str, pages_as_lines: bool = False) -> DataFrame:
+    """A saved report as a table whose names, order and types come from the ``fields`` of its own responses.
+
+    A response, one page of the report, is a file, or with ``pages_as_lines`` a line of a
+    file. Numbers become BIGINT, decimals or DOUBLE as their values need; days, times and
+    flags get their types, and one that is malformed stops the job; other cells are text,
+    lists and objects as JSON. Missing and blank cells are NULL in every type. All pages
+    must describe a field alike, and labels must differ; a report without any response is
+    an error, one without rows an empty table.
+    """
+    fields = "array<struct<id:bigint,label:string,type:string,fieldType:string>>"
+    response = spark.read.schema(f"data array<{TYPED_CELL}>, fields {fields}").json(path, multiLine=not pages_as_lines)
+    found = (
+        response.select(F.posexplode("fields").alias("place", "f"))
+        .groupBy(F.col("f.id").alias("id"))
+        # One row per field of the report.
+        .agg(F.min("place").alias("place"), F.collect_set(F.struct("f.label", F.coalesce("f.type", "f.fieldType").alias("kind"))).alias("said"))
+        .orderBy("place", "id")
+        .collect()
+    )
+    if not found:
+        raise ValueError(f"no fields in the report at {path}")
+    unlike = [r["id"] for r in found if len(r["said"]) != 1]
+    if unlike:
+        raise ValueError(f"pages describe fields {unlike} differently")
+    names = [label_name(r["said"][0]["label"]).lower() for r in found]
+    if len(set(names)) < len(names):
+        raise ValueError(f"fields with the same label in {names}")
+    rows = response.select(F.explode("data").alias("record"))
+    cells, numbers = [], []
+    for r in found:
+        label, kind = r["said"][0]
+        text = F.variant_get(F.col("record")[str(r["id"])]["value"], "$", "string")
+        given = F.when(F.trim(text) != "", text)
+        if kind in DAYS:
+            text = given.cast("date")
+        elif kind in TIMES:
+            text = given.cast("timestamp")
+        elif kind in FLAGS:
+            text = given.cast("boolean")
+        elif kind in NUMBERS:
+            numbers.append(label_name(label))
+        cells.append(text.alias(label_name(label)))
+    # A text cell that is blank is missing as well.
+    shaped = rows.select(*cells)
+    plain = [f.name for f in shaped.schema.fields if f.dataType.simpleString() == "string"]
+    shaped = shaped.withColumns({c: F.when(F.trim(F.col(c)) != "", F.col(c)) for c in plain})
+    return numeric_coerce(shaped, numbers, keep_missing=True) if numbers else shaped
+
+
 def label_name(label: str) -> str:
     return label.replace(" ", "_").replace("#", "_Num")
 
@@ -85,3 +143,41 @@ def labelled_union(frames: Mapping[str, DataFrame], label: str) -> DataFrame:
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
     """A sheet exported as CSV: the first row is the header, cells stay text."""
     return normalize_headers(spark.read.csv(path, header=True, inferSchema=False), "lower")
+
+
+def read_numbered_sheet(spark: SparkSession, path: str, index: str = "row_index") -> DataFrame:
+    """A sheet exported as CSV with each row's number, from 0, as it stands in the files.
+
+    Files follow by name, lines by place; every file starts with the header. A file may be
+    read in many splits: each counts its lines, the counts are summed in order, one row a
+    split, and a line's number is its place in the split plus the lines before the split.
+    Numbered lines are written once, as another scan may split the files elsewhere. A line
+    is a row, a blank one too (its cells are NULL); a line break inside a cell must be
+    replaced on export. Blank and missing trailing cells are NULL. A sheet of headers alone
+    is empty.
+    """
+    names = read_sheet(spark, path).columns
+    if index in names:
+        raise ValueError(f"the sheet has a column {index}")
+    source = F.col("_metadata")
+    lines = materialise(
+        spark.read.text(path).select(
+            source["file_path"].alias("file"),
+            source["file_block_start"].alias("split"),
+            F.monotonically_increasing_id().alias("id"),
+            F.col("value").alias("line"),
+        )
+    )
+    # The first split of a file holds its header, which is no row.
+    header = (F.col("split") == 0).cast("bigint")
+    splits = lines.groupBy("file", "split").agg(F.min("id").alias("first"), (F.count(F.lit(1)) - F.max(header)).alias("n"))
+    earlier = Window.orderBy("file", "split").rowsBetween(Window.unboundedPreceding, -1)
+    before = splits.select("file", "split", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    place = F.col("before") + F.col("id") - F.col("first") - header
+    cells = F.from_csv("line", ", ".join(f"`{c}` string" for c in names), {"mode": "PERMISSIVE"})
+    return (
+        lines.join(F.broadcast(before), ["file", "split"])
+        .filter((F.col("split") != 0) | (F.col("id") != F.col("first")))
+        .select(place.cast("bigint").alias(index), cells.alias("cells"))
+        .select(index, *[F.col("cells")[c].alias(c) for c in names])
+    )

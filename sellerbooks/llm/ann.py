@@ -11,11 +11,12 @@ are taken in increasing order of their expected squared distance. Candidates of
 tables are merged and ranked by the exact inner product of the original vectors in
 double precision, summed in one fixed order, so equal vectors score equally.
 
-Probing ends where its bound is met. A vector that would still change a query's list lies
-within the distance its last score stands for; the slots' edges give the probability that
-the probes of all tables meet a point at that distance. Where it is below ``FOUND_AT_LEAST``,
-or the list is not full, the whole range is scored. Ranges go from long vectors to short
-ones, and one whose M cannot reach the list's last score is passed over.
+Probing goes on by ``STOPS`` and ends where its bound is met. A vector that would still
+change a query's list lies within the distance its last score stands for; the slots' edges
+give the probability that the probes so far, of all tables, meet a point at that distance.
+Where it stays below ``FOUND_AT_LEAST`` after the last probe, or the list is not full, the
+rest of the range is scored too. Ranges go from long vectors to short ones, and one whose M
+cannot reach the list's last score is passed over.
 
 Equal vectors are indexed once with the smallest ids they can need, and equal queries
 search once, so copies never make a hot bucket. The index is dealt into shards of about
@@ -47,14 +48,16 @@ TOP = 20
 EVERY = 20
 TABLES = 10
 HASHES = 10
-WIDTH = 2.0
+WIDTH = 2.3
 PROBES = 900
+#: Probes of a table after which the bound is looked at.
+STOPS = (150, 300, 500, 700, 900)
 #: Norms of a range; within it the longest is its M.
 RATIO = 1.2
 #: Ranges of fewer vectors are scored whole, which is less work than their probes.
 LEAST_RANGE = 256
-#: Least estimated probability that the probes meet a vector which belongs to the list.
-FOUND_AT_LEAST = 0.97
+#: Least estimated probability that the probes meet a vector at the end of the list, the hardest to meet.
+FOUND_AT_LEAST = 0.92
 #: Bounds the error of a product of unit vectors.
 ROUNDING = 1e-11
 SEED = 5
@@ -138,12 +141,15 @@ class Probe:
     def __init__(self, inside: np.ndarray, own: np.ndarray, weights: np.ndarray):
         edges = np.concatenate([inside, 1 - inside], axis=1)  # a step down, a step up
         ranked = np.argsort(edges, axis=1, kind="stable")
-        moves = np.where(ranked < HASHES, -1, 1) * weights[ranked % HASHES]
-        self.visited = [own[t] + _steps() @ moves[t] for t in range(TABLES)]
-        self.inside, self.ranked = inside, ranked
+        self.moves = np.where(ranked < HASHES, -1, 1) * weights[ranked % HASHES]
+        self.inside, self.ranked, self.own = inside, ranked, own
 
-    def success(self, distance: float) -> float:
-        """Probability that a visited bucket of any table holds a given point at ``distance``."""
+    def visited(self, table: int, first: int, last: int) -> np.ndarray:
+        """Buckets of the probes from ``first`` to ``last``."""
+        return self.own[table] + _steps()[first:last] @ self.moves[table]
+
+    def success(self, distance: float, probes: int = PROBES) -> float:
+        """Probability that one of the first ``probes`` buckets of any table holds a given point at ``distance``."""
         width = WIDTH / max(distance, 1e-9)
         low, high = -self.inside * width, (1 - self.inside) * width
         under, over = _below(low), _below(high)
@@ -152,7 +158,7 @@ class Probe:
         stay = np.maximum(stay, 1e-300)
         gain = np.log(np.maximum(np.concatenate([down, up], axis=1), 1e-300)) - np.log(np.concatenate([stay, stay], axis=1))
         gain = np.take_along_axis(gain, self.ranked, axis=1)
-        chance = np.exp(_taken() @ gain.T + np.log(stay).sum(axis=1)).sum(axis=0)
+        chance = np.exp(_taken()[:probes] @ gain.T + np.log(stay).sum(axis=1)).sum(axis=0)
         return 1 - float(np.prod(1 - np.minimum(chance, 1)))
 
 
@@ -169,10 +175,11 @@ class NormRange:
         slots, _ = _project(np.concatenate([scaled, lift[:, None]], axis=1))
         self.tables = [np.unique((slots[:, t] * weights).sum(axis=1), return_inverse=True) for t in range(TABLES)]
 
-    def met(self, probe: Probe) -> np.ndarray:
-        """Which of ``rows`` lie in the buckets that the query visits."""
+    def met(self, probe: Probe, first: int, last: int) -> np.ndarray:
+        """Which of ``rows`` lie in the buckets that the probes from ``first`` to ``last`` visit."""
         found = np.zeros(len(self.rows), dtype=bool)
-        for (buckets, bucket_of), visited in zip(self.tables, probe.visited):
+        for table, (buckets, bucket_of) in enumerate(self.tables):
+            visited = probe.visited(table, first, last)
             at = np.searchsorted(buckets, visited)
             at[at == len(buckets)] = 0
             hit = np.zeros(len(buckets), dtype=bool)
@@ -210,20 +217,27 @@ class Shard:
             for part in self.ranges:
                 if last > part.longest:
                     break
+                left = np.ones(len(part.rows), dtype=bool)
                 if part.tables is not None:
                     probe = probe or Probe(inside[i], own[i], self.weights)
-                    some = part.rows[part.met(probe)]
-                    more = np.concatenate([found, some]), np.concatenate([scores, self.x[some] @ unit[i]])
-                    reached = self._last(*more, top)
-                    # Whatever belongs to the list and was not met is no farther than this.
-                    distance = math.sqrt(max(2 - 2 * reached / part.longest, 0)) if reached > -np.inf else np.inf
-                    if distance < np.inf and probe.success(distance) >= FOUND_AT_LEAST:
-                        (found, scores), last = more, reached
-                        continue
-                found, scores = np.concatenate([found, part.rows]), np.concatenate([scores, self.x[part.rows] @ unit[i]])
-                last = self._last(found, scores, top)
+                    for a, b in zip((0, *STOPS), STOPS):
+                        new = part.met(probe, a, b) & left
+                        left &= ~new
+                        found, scores = self._add(found, scores, part.rows[new], unit[i])
+                        last = self._last(found, scores, top)
+                        # Whatever belongs to the list and was not met is no farther than this.
+                        distance = math.sqrt(max(2 - 2 * last / part.longest, 0)) if last > -np.inf else np.inf
+                        if distance < np.inf and probe.success(distance, b) >= FOUND_AT_LEAST:
+                            left[:] = False
+                            break
+                if left.any():
+                    found, scores = self._add(found, scores, part.rows[left], unit[i])
+                    last = self._last(found, scores, top)
             yield np.sort(found[scores + ROUNDING * self.length[found] >= last])
 
+    def _add(self, found: np.ndarray, scores: np.ndarray, rows: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate([found, rows]), np.concatenate([scores, self.x[rows] @ unit])
+
     def _last(self, found: np.ndarray, scores: np.ndarray, top: int) -> float:
         """What the ``top``-th best score is at least, as scores are rounded in proportion to the norms."""
         if len(found) < top:

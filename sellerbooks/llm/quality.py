@@ -6,9 +6,10 @@ Filter responses are max-pooled within a chunk; a document's vector holds their
 and their maximum over all its chunks, and one logistic layer makes a probability of
 it. Only the text's bytes enter a score.
 
-It is fitted by gradient descent on at most ``SAMPLE`` labelled rows (texts of at most
-``SAMPLE_BYTES`` bytes, taken in the order of a hash of doc_id) whose
-crc32(doc_id) mod 5 is not 0; the rest is held out. Seeds are fixed. Scoring covers
+It is fitted by gradient descent on at most ``SAMPLE`` labelled rows (taken in the order
+of a hash of doc_id) whose crc32(doc_id) mod 5 is not 0; the rest is held out. A text of
+more than ``SAMPLE_CHARS`` characters teaches by a window of so many, from a place its
+doc_id's hash draws. Seeds are fixed. Scoring covers
 whole texts in slices, so memory does not grow with a text's length.
 
 Defined cases: a NULL or empty text gets the score of one empty chunk; a NULL doc_id is
@@ -31,7 +32,7 @@ FILTERS = 8
 WIDTH = 5
 HALF = 128
 SAMPLE = 3000
-SAMPLE_BYTES = 1 << 15
+SAMPLE_CHARS = 1 << 15
 #: Passes over the sample; a small sample gets more, up to STEPS batches.
 EPOCHS = 10
 STEPS = 800
@@ -205,7 +206,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Network:
     known = labels.filter("doc_id is not null and quality is not null").filter(fold(F.col("doc_id")) != 0)
     known = known.groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    texts = docs.filter(F.octet_length("text") <= SAMPLE_BYTES).select("doc_id", "text")
+    more = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0))
+    window = F.substring("text", (F.pmod(F.xxhash64("doc_id"), more + 1) + 1).cast("int"), F.lit(SAMPLE_CHARS))
+    texts = docs.filter("text is not null").select("doc_id", window.alias("text"))
     rows = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "quality")
     # Equal doc_ids could make the sample larger than its bound.
     rows = rows.orderBy("doc_id", "text").limit(sample).toPandas()

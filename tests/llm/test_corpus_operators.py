@@ -440,8 +440,8 @@ def test_the_bound_estimates_what_the_probes_meet():
     slots, inside = ann._project(np.concatenate([unit, np.zeros((60, 1))], axis=1))
     for i in range(60):
         probe = ann.Probe(inside[i], (slots[i] * shard.weights).sum(axis=1), shard.weights)
-        met += shard.ranges[0].met(probe)[:25].sum()
-        expected += sum(probe.success(np.linalg.norm(x[j] - unit[i])) for j in range(25))
+        met += shard.ranges[0].met(probe, 0, 200)[:25].sum()
+        expected += sum(probe.success(np.linalg.norm(x[j] - unit[i]), 200) for j in range(25))
     assert abs(met - expected) <= 0.05 * 60 * 25
 
 

@@ -87,6 +87,22 @@ def test_boilerplate_keeps_its_first_place(documents):
     assert lines.dedup_lines(df, min_sites=13).filter("n_removed > 0").count() == 0
 
 
+@pytest.mark.parametrize("sites", [1, 2, 4, 5, 19, 20, 30])
+def test_line_threshold_follows_the_sites(documents, sites):
+    """Each line stands on as many sites as its number says; half of few sites is enough, for lines of some length."""
+    rows = []
+    for i in range(sites):
+        said = [f"short {n}" for n in range(1, sites + 1) if i < n] + [f"a line of the usual length {n}" for n in range(1, sites + 1) if i < n]
+        rows.append((i, "\n".join([*said, f"own line of document number {i}"]), f"s{i}"))
+    df = documents(rows)
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    want = {r[0]: r[2] for r in con.execute(lines.CHECK_SQL).fetchall()}
+    assert {r["doc_id"]: r["n_removed"] for r in lines.dedup_lines(df).collect()} == want
+    long = min(10, max(3, (sites + 1) // 2))
+    assert sum(want.values()) == sum(n - 1 for n in range(long, sites + 1)) + sum(n - 1 for n in range(10, sites + 1))
+
+
 # Classifier
 
 
@@ -224,3 +240,48 @@ def test_a_text_of_very_many_lines_loses_only_its_boilerplate(documents):
     kept = {r["doc_id"]: r for r in lines.dedup_lines(documents(rows)).filter("doc_id IN (0, 100)").collect()}
     assert kept[100]["text"] == long.removeprefix("menu\n") and kept[100]["n_removed"] == 1
     assert kept[0]["text"] == "menu\nown 0"
+
+
+def plain_score(net, text):
+    """The network as loops over the text's bytes: windows, halves, chunks, mean and maximum, one logistic."""
+    halves = [range(a, min(a + quality.HALF, len(text))) for a in range(0, max(len(text), 1), quality.HALF)]
+    vector = []
+    for f in range(quality.FILTERS):
+        most = []
+        for half in halves:
+            best = 0.0
+            for at in half:
+                window = text[at : at + quality.WIDTH]
+                best = max(best, net.bias[f] + sum(net.table[w, byte, f] for w, byte in enumerate(window)))
+            most.append(best)
+        vector.append([max(pair) for pair in zip(most, most[1:])] or most)
+    pooled = [sum(chunks) / len(chunks) for chunks in vector] + [max(chunks) for chunks in vector]
+    return 1 / (1 + np.exp(-(sum(w * v for w, v in zip(net.weight, pooled)) + net.offset)))
+
+
+def test_scores_equal_a_plain_loop():
+    rng = np.random.default_rng(4)
+    net = quality.Network.empty()
+    net.table[:] = rng.normal(0, 0.3, net.table.shape)
+    net.bias[:], net.weight[:], net.offset = rng.normal(0, 0.3, 8), rng.normal(0, 0.3, 16), 0.1
+    texts = [rng.integers(0, 256, n).astype(np.uint8).tobytes() for n in (0, 1, 4, 127, 128, 129, 256, 300, 1000)]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = quality.scores(net, np.frombuffer(b"".join(texts), np.uint8), offsets)
+    assert np.allclose(got, [plain_score(net, t) for t in texts], atol=1e-5)
+
+
+def test_long_labelled_texts_teach(documents, monkeypatch):
+    """Every labelled text is longer than a window: without them nothing would be learned."""
+    monkeypatch.setattr(quality, "SAMPLE_CHARS", 300)
+    rng = np.random.default_rng(5)
+    rows, labels = [], []
+    for i in range(60):
+        good = i % 2
+        words = rng.choice(["plain", "prose", "reads", "well"] if good else ["$$$", "!!1", "zzq", "###"], 200)
+        rows.append((i, " ".join(words), "s"))
+        labels.append((i, good, 0))
+    df = documents(rows)
+    assert min(len(r[1]) for r in rows) > quality.SAMPLE_CHARS
+    known = df.sparkSession.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    held = quality.classify(df, known).filter("held_out").collect()
+    assert held and all(r["predicted"] == r["doc_id"] % 2 for r in held)

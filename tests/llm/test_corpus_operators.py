@@ -376,6 +376,23 @@ def test_search_equals_sql(documents, monkeypatch, postings):
     assert rows_of(search.search(df), *names) == sorted(cursor.fetchall(), key=repr)
 
 
+def test_search_skips_blocks_and_loses_none():
+    rng = np.random.default_rng(5)
+    terms = [np.unique(np.concatenate([rng.integers(1, 60, 12), 1000 * (d // 20) + 100 + rng.integers(0, 40, 15)])) for d in range(2000)]
+    terms = [t.astype("<u8") for t in terms]
+    counts = [rng.integers(1, 4, len(t)).astype("<u4") for t in terms]
+    sizes = np.array([c.sum() for c in counts], dtype=float)
+    index = search.ShardIndex(terms, counts, sizes, sizes.mean())
+    kinds, df = np.unique(np.concatenate(terms), return_counts=True)
+    for q in range(0, 2000, 50):
+        weights = np.log(2000 / df[np.searchsorted(kinds, terms[q])]) * counts[q]
+        every = np.array([index.exact(d, terms[q], weights) for d in range(2000)])
+        best = sorted(index.best(terms[q], weights, 10), reverse=True)[:10]
+        assert [s for s, _ in best] == sorted(every.tolist(), reverse=True)[:10]
+        assert all(every[d] == s for s, d in best)
+    assert 0 < index.scored < index.reached / 4
+
+
 def test_search_of_none(documents):
     assert search.search(documents([])).count() == 0
     assert search.search(documents([(50, None, "s")])).count() == 0

@@ -757,6 +757,14 @@ check(
     + batched("(SELECT account_name, sku, asin, list_price FROM {product_data})", "account_name, sku, asin")
     + ")",
 )
+check(
+    "logged_steps",
+    "script:t query:t row_count:i in_order:b",
+    "\nUNION ALL ".join(
+        f"SELECT 'catalog' AS script, 'logged_{step}' AS query, count(*) AS row_count, true AS in_order FROM {{q_{step}}}"
+        for step in ("latest_listing", "missing_products", "catalog")
+    ),
+)
 check(
     "sheet_export",
     "Row_Index:t Sku:t Unit_Price:t Qty:t Completion_Date:t Customer_Ref:t Remarks:t",

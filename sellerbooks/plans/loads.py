@@ -1,16 +1,17 @@
-"""Loads into stored tables: typed imports, keyed tables, appends that evolve, days and batches published once."""
+"""Loads into stored tables: typed imports, keyed tables, appends that evolve, days and batches published once, logged steps."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sellerbooks.operators.ordered import batches
 from sellerbooks.operators.schema import profile_of
 from sellerbooks.plans.imports import typed
-from sellerbooks.sources import publish, stored
+from sellerbooks.sources import publish, stored, tables
 from sellerbooks.sources.records import unwrap_records
 
 BATCH = 1000
@@ -86,3 +87,32 @@ def payload_batches(rows: DataFrame, fields: Mapping[str, str], order: Sequence[
     """(batch_id, key columns, payload) of rows to publish, in batches of 1000."""
     numbered = batches(rows, [F.col(c) for c in order], BATCH)
     return publish.payload(numbered, fields).select("batch_id", *order, "payload")
+
+
+def run_steps(spark: SparkSession, script: str, steps: Mapping[str, Callable[[SparkSession], DataFrame]], folder: str) -> DataFrame:
+    """Run the steps of a script in order and return the log: script, query, start, end and duration of each.
+
+    A step's rows replace its stored table, which the steps behind it read from the catalog
+    by its name. Its run time is logged once the rows are committed. A step that fails
+    leaves its table of an earlier run as it was and nothing in the log, and ends the run.
+    """
+    log = f"{folder}/log"
+    for name, step in steps.items():
+        started = dt.datetime.now()
+        stored.replace(step(spark), f"{folder}/{name}")
+        stored.read(spark, f"{folder}/{name}").createOrReplaceTempView(name)
+        publish.log_step(spark, log, script, name, started, dt.datetime.now())
+    return spark.read.parquet(log)
+
+
+def steps_report(log: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Each logged step with the rows of its table and whether it began behind the end of the step before."""
+    spark = log.sparkSession
+    counts = spark.createDataFrame([], "row_count long, query string")
+    for name in names:
+        if tables.table_exists(spark, name):
+            counts = counts.unionByName(tables.row_count(spark.table(name)).withColumn("query", F.lit(name)))
+    before = Window.partitionBy("script").orderBy("start_time")
+    in_order = F.coalesce(F.lag("end_time").over(before) <= F.col("start_time"), F.lit(True))
+    timed = F.col("duration") >= 0
+    return log.withColumn("in_order", in_order & timed).join(counts, "query", "left")

@@ -434,6 +434,20 @@ class Books:
             loads.publish_batches(part, path)
         return stored.read(self.spark, path)
 
+    @cached_property
+    def logged_steps(self):
+        """The catalog script run step by step, each step reading the tables the ones before have stored."""
+        i, step = self.inputs, "logged_{}".format
+        steps = {
+            step("latest_listing"): lambda spark: self.latest_listing,
+            step("missing_products"): lambda spark: catalog.listings_with_missing(
+                spark.table(step("latest_listing")), i.product_data
+            ),
+            step("catalog"): lambda spark: catalog.catalog(spark.table(step("missing_products")), i.products, i.stock),
+        }
+        log = loads.run_steps(self.spark, "catalog", steps, table_folder(self.spark))
+        return loads.steps_report(log, list(steps))
+
     # Feeds
     @cached_property
     def _products(self):

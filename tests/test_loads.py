@@ -58,3 +58,25 @@ def test_import_is_typed_stored_and_shown_in_the_catalog(spark, tmp_path):
     with pytest.raises(Exception, match="no answer"):
         loads.store_import(bad, "record", fields, path, "imported_test")
     assert spark.table("imported_test").count() == 3 and stored.read(spark, path).count() == 3
+
+
+def test_a_failing_step_ends_the_run_and_keeps_its_table(spark, tmp_path):
+    folder = str(tmp_path / "run")
+    steps = {
+        "steps_first": lambda s: s.range(5),
+        "steps_second": lambda s: s.table("steps_first").filter("id > 1"),
+        "steps_third": lambda s: s.table("steps_second").withColumn("twice", F.col("id") * 2),
+    }
+    report = loads.steps_report(loads.run_steps(spark, "demo", steps, folder), list(steps))
+    assert rows_of(report.select("query", "row_count", "in_order")) == [
+        ("steps_first", 5, True), ("steps_second", 3, True), ("steps_third", 3, True)
+    ]
+    assert rows_of(spark.table("steps_third")) == [(2, 4), (3, 6), (4, 8)]
+    broken = steps | {
+        "steps_first": lambda s: s.range(7),
+        "steps_second": lambda s: s.table("steps_first").withColumn("id", F.raise_error(F.lit("no source")).cast("long")),
+    }
+    with pytest.raises(Exception, match="no source"):
+        loads.run_steps(spark, "demo", broken, folder)
+    assert [stored.read(spark, f"{folder}/{n}").count() for n in steps] == [7, 3, 3]
+    assert spark.read.parquet(f"{folder}/log").groupBy("query").count().filter("count = 2").collect()[0]["query"] == "steps_first"

@@ -273,6 +273,33 @@ check(
 FROM ({profile('sheet_cogs', ['row_index', 'container_num', 'sku', 'asin', 'qty', 'duties'])}) s
 JOIN ({profile('sheet_po', ['row_index', 'sku', 'unit_price', 'qty', 'completion_date', 'customer_ref'])}) i ON upper(s.column_name) = upper(i.column_name)""",
 )
+WIDEN_STORED = ["sku", "asin", "quantity", "item_price", "purchase_date"]
+WIDEN_INCOMING = ["chargetype", "currencycode", "quantity", "currencyamount", "posteddate"]
+
+
+def in_every_type(view: str, columns) -> str:
+    """The measured types of columns, the last of them a timestamp; numbers in every type they can be stored as."""
+    *measured, stamp = columns
+    return f"""(SELECT column_name, all_zero, unnest(CASE WHEN target_type LIKE 'NUMERIC%' THEN ['NUMERIC(12,2)', 'NUMERIC(12,4)', 'NUMERIC(20,2)', 'NUMERIC(20,4)',
+      'FLOAT(12,2)', 'FLOAT(12,4)', 'FLOAT(20,2)', 'FLOAT(20,4)'] WHEN target_type = 'INTEGER' THEN ['INTEGER', 'BIGINT'] ELSE [target_type] END) AS t
+    FROM ({profile(view, measured)}) UNION ALL SELECT '{stamp}', false, 'DATETIME')"""
+
+
+check(
+    "schema_widen_pairs",
+    "column_name:t stored_type:t incoming_type:t change:t",
+    f"""SELECT upper(s.column_name || ' ' || s.t || ' < ' || i.column_name || ' ' || i.t) AS column_name, s.t AS stored_type, i.t AS incoming_type,
+  CASE WHEN s.t = i.t THEN NULL
+       WHEN s.t LIKE 'VARCHAR%' AND i.t LIKE 'VARCHAR%' THEN
+            CASE WHEN TRY_CAST(regexp_extract(i.t, '([0-9]+)', 1) AS INT) > TRY_CAST(regexp_extract(s.t, '([0-9]+)', 1) AS INT) THEN i.t END
+       WHEN s.t LIKE 'VARCHAR%' OR (s.t = 'DATETIME' AND i.t LIKE 'VARCHAR%') THEN NULL
+       WHEN (s.t = 'BIGINT' OR s.t LIKE 'FLOAT%') AND i.t = 'INTEGER' THEN NULL
+       WHEN s.t IN ('NUMERIC(12,2)', 'NUMERIC(20,2)') AND i.t IN ('INTEGER', 'BIGINT') THEN NULL
+       WHEN s.t LIKE '%(20,_)' AND s.t = replace(i.t, '(12,', '(20,') THEN NULL
+       WHEN s.t IN ('INTEGER', 'BIGINT') AND i.t = 'DATETIME' THEN 'VARCHAR(25)'
+       WHEN i.all_zero THEN NULL ELSE i.t END AS change
+FROM {in_every_type('all_orders', WIDEN_STORED)} s CROSS JOIN {in_every_type('finance_events', WIDEN_INCOMING)} i""",
+)
 check(
     "evolve_append",
     "account_name:t sku:t asin:t list_price:n record_id:i",

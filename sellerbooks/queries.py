@@ -110,6 +110,33 @@ class Books:
     def schema_widen(self):
         return schema.widen(schema.schema_profile(self.inputs.sheet_cogs), self.schema_profile)
 
+    @cached_property
+    def schema_widen_pairs(self):
+        """Each measured column of the orders against each of the finance events, numbers in every stored type there is."""
+        numbers = [f"{kind}({size},{depth})" for kind in ("NUMERIC", "FLOAT") for size in (12, 20) for depth in (2, 4)]
+        measured = F.col("target_type")
+        kinds = (
+            F.when(measured.startswith("NUMERIC"), F.array(*map(F.lit, numbers)))
+            .when(measured == "INTEGER", F.array(F.lit("INTEGER"), F.lit("BIGINT")))
+            .otherwise(F.array(measured))
+        )
+
+        def in_every_type(table: DataFrame, columns: list[str]) -> DataFrame:
+            profile = schema.schema_profile(table.select(*columns))
+            rows = profile.withColumn("target_type", F.explode(kinds))
+            return materialise(rows.withColumn("column_name", F.concat_ws(" ", "column_name", "target_type")))
+
+        stored = in_every_type(self.inputs.all_orders, c.WIDEN_STORED)
+        incoming = in_every_type(self.inputs.finance_events, c.WIDEN_INCOMING)
+        # A few names a column, whatever the rows.
+        names = [[F.lit(r["column_name"]) for r in side.collect()] for side in (incoming, stored)]
+        left = stored.withColumn("other", F.explode(F.array(*names[0])))
+        right = incoming.withColumn("other", F.explode(F.array(*names[1])))
+        return schema.widen(
+            left.withColumn("column_name", F.concat_ws(" < ", "column_name", "other")),
+            right.withColumn("column_name", F.concat_ws(" < ", "other", "column_name")),
+        )
+
     @cached_property
     def evolve_append(self):
         target = self.inputs.product_data.select("account_name", "sku", "asin", "list_price")

@@ -2,7 +2,8 @@
 
 Each stage works on all that the one before kept; ``run`` writes every result as
 Parquet to the shared folder and reads it again. Stages but the last return the columns
-of their input; ``n_chars`` follows the text.
+of their input; ``n_chars`` follows the text. A stage's documents are read from files as
+they lie there, so it finds its rows again without writing their texts once more.
 """
 
 from __future__ import annotations
@@ -27,19 +28,19 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop repeats of lines that stand on many sites; every document stays."""
-    return _as_documents(lines.dedup_lines(docs), docs)
+    return _as_documents(lines.dedup_lines(docs, in_files=True), docs)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates."""
     ship_package(spark)
-    return simhash.one_of_each_group(docs)
+    return simhash.one_of_each_group(docs, in_files=True)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mix the sources to their target weights; a document may come more than once, or in part."""
     ship_package(spark)
-    return _as_documents(mixing.mixed_documents(docs), docs)
+    return _as_documents(mixing.mixed_documents(docs, in_files=True), docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sellerbooks.llm.common import ROW, before_in_group, numbered, spread, with_row
+from sellerbooks.llm.common import ROW, before_in_group, numbered, numbered_in_files, spread, with_row
 from sellerbooks.session import materialise
 
 WEIGHTS = (5, 2, 1)
@@ -194,17 +194,19 @@ def taken(docs: DataFrame) -> DataFrame:
     )
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
+def mixed_documents(docs: DataFrame, in_files: bool = False) -> DataFrame:
     """The mix as documents: a row for each pass that takes a document.
 
     A document taken whole keeps its text; one taken in part keeps the words taken,
-    one blank apart. Other columns are repeated as they are.
+    one blank apart. Other columns are repeated as they are. ``in_files``: the documents
+    are read from Parquet files as they lie there.
     """
-    numbers = materialise(numbered(docs))
+    numbers = numbered_in_files(docs) if in_files else materialise(numbered(docs))
     _, pieces = _mix(materialise(numbers.select(ROW, *_measured("doc."))))
     part = F.sort_array(F.collect_list(F.struct("first", "n")))
     turns = pieces.groupBy(F.col(ROW).alias("_r"), "turn").agg(F.sum("n").alias("_n"), part.alias("_parts"))
-    joined = numbers.join(turns, F.col(ROW) == F.col("_r"))
+    # A row or more a document: not to be broadcast, small as the packed table it is derived from may look.
+    joined = numbers.join(turns.hint("merge"), F.col(ROW) == F.col("_r"))
     full = F.col("doc.text")
     words = F.regexp_extract_all(full, F.lit(WORD), F.lit(0))
     some = F.flatten(F.transform("_parts", lambda p: F.slice(words, (p["first"] + 1).cast("int"), p["n"].cast("int"))))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sellerbooks.llm.common import LOWER, ROW, SOLID, U64, numbered, one_blank_apart, spread, text_blocks, with_row, word_spans
+from sellerbooks.llm.common import LOWER, ROW, SOLID, U64, numbered, numbered_in_files, one_blank_apart, spread, text_blocks, with_row, word_spans
 from sellerbooks.session import materialise
 
 SEED = 42
@@ -296,10 +296,13 @@ def _grouped(rows: DataFrame) -> DataFrame:
     return rows.join(member, F.col("fp") == F.col("_fp")).drop("_fp")
 
 
-def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The documents with the smallest doc_id of their component; of equal doc_ids, the first row."""
+def one_of_each_group(docs: DataFrame, in_files: bool = False) -> DataFrame:
+    """The documents with the smallest doc_id of their component; of equal doc_ids, the first row.
+
+    ``in_files``: the documents are read from Parquet files as they lie there.
+    """
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", ROW)
-    rows = materialise(numbered(docs))
+    rows = numbered_in_files(docs) if in_files else materialise(numbered(docs))
     marked = materialise(_fingerprints(rows.select(ROW, *_hashed("doc."))))
     first = _grouped(marked).groupBy("root").agg(F.min(order).alias("f"))
     kept = first.select(F.col(f"f.{ROW}").alias("_kept"))

@@ -4,7 +4,9 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from sellerbooks.llm import lines, mixing, repeats, simhash, warc
+from sellerbooks.llm.common import ROW, numbered_in_files
 
 CORES = "spark.sql.leafNodeDefaultParallelism"
 
@@ -57,3 +59,50 @@ def test_cores_that_join_between_steps_change_nothing(spark, files, monkeypatch,
 
     monkeypatch.setattr(module, "materialise", write_and_join)
     assert len(want) > 50 and rows() == want
+
+
+IN_FILES = {
+    "lines": (lines, lines.dedup_lines, ("doc_id", "text", "n_removed")),
+    "simhash": (simhash, simhash.one_of_each_group, ("doc_id", "text")),
+    "mixing": (mixing, mixing.mixed_documents, ("doc_id", "text")),
+}
+
+
+@pytest.mark.parametrize("name", IN_FILES)
+def test_documents_in_files_are_found_again_and_not_written(spark, files, monkeypatch, name):
+    module, operator, columns = IN_FILES[name]
+    kept = lambda out: sorted((tuple(r) for r in out.select(*columns).collect()), key=repr)
+    want = kept(operator(files))
+    spark.conf.set(CORES, "2")
+    write, written = module.materialise, set()
+
+    def write_and_join(df):
+        written.update(df.columns)
+        spark.conf.set(CORES, "8")
+        return write(df)
+
+    monkeypatch.setattr(module, "materialise", write_and_join)
+    assert kept(operator(files, in_files=True)) == want and len(want) > 50
+    assert written and not written & {"doc", "text"}
+
+
+def test_pipeline_stages_do_not_write_the_texts_they_read(spark, files, monkeypatch):
+    for module in (lines, simhash, mixing):
+        def write(df, write=module.materialise):
+            assert not set(df.columns) & {"doc", "text"}
+            return write(df)
+
+        monkeypatch.setattr(module, "materialise", write)
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        assert stage(spark, files, "").count() > 50
+
+
+def test_rows_of_no_file_are_numbered_too(documents):
+    rows = numbered_in_files(documents([(1, "a", "s"), (2, None, None), (2, None, None)]))
+    assert rows.select(ROW).distinct().count() == 3 and sorted(r["doc_id"] for r in rows.select("doc.doc_id").collect()) == [1, 2, 2]
+
+
+def test_the_words_taken_are_not_broadcast(files, capsys):
+    mixing.mixed_documents(files, in_files=True).explain()
+    joins = [x for x in capsys.readouterr().out.splitlines() if "Join" in x]
+    assert "SortMergeJoin" in joins[0]

@@ -393,6 +393,31 @@ def test_search_skips_blocks_and_loses_none():
     assert 0 < index.scored < index.reached / 4
 
 
+@pytest.mark.parametrize("dense", [0, 7, 1024])
+def test_queries_together_read_few_postings_and_lose_none(monkeypatch, dense):
+    monkeypatch.setattr(search, "HEAD_TERMS", dense)
+    monkeypatch.setattr(search, "CHUNK", 3)
+    rng = np.random.default_rng(6)
+    common, rare = 1 + rng.zipf(1.3, (1500, 60)) % 400, 1000 + rng.integers(0, 3000, (1500, 20))
+    terms = [np.unique(np.concatenate([c, r])).astype("<u8") for c, r in zip(common, rare)]
+    terms[7:9] = [terms[6], terms[6]]
+    counts = [rng.integers(1, 4, len(t)).astype("<u4") for t in terms]
+    sizes = np.array([c.sum() for c in counts], dtype=float)
+    index = search.ShardIndex(terms, counts, sizes, sizes.mean())
+    kinds, df = np.unique(np.concatenate(terms), return_counts=True)
+    asked = list(range(0, 1500, 30))
+    queries = [(terms[q], np.log(1 + (1500.5 - df[np.searchsorted(kinds, terms[q])]) / 3) * counts[q]) for q in asked]
+    queries.append((np.array([999_999], "<u8"), np.array([1.0])))
+    found = index.best_of(queries, 10)
+    assert found.pop() == []
+    for (t, w), best in zip(queries, found):
+        every = sorted(((index.exact(d, t, w), d) for d in range(1500)), reverse=True)
+        assert sorted(best, reverse=True)[:10] == every[:10]
+    matched = sum(int(df[np.searchsorted(kinds, t)].sum()) for t, _ in queries[:-1])
+    if dense > 7:
+        assert index.read < matched / 4
+
+
 def test_search_of_none(documents):
     assert search.search(documents([])).count() == 0
     assert search.search(documents([(50, None, "s")])).count() == 0

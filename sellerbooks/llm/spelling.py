@@ -289,7 +289,8 @@ def near_pairs(table: DataFrame) -> DataFrame:
         F.ceil(F.col("members") / MEMBERS).cast("int").alias("_members"),
         F.ceil(F.col("queries") / QUERIES).cast("int").alias("_queries"),
     )
-    rows = routes(table, depth, True).join(shares, F.col("branch") == F.col("_b"))
+    # Spark sizes the routes as the words they come from, of which each gives dozens: never broadcast them.
+    rows = routes(table, depth, True).hint("merge").join(shares, F.col("branch") == F.col("_b"))
     member = F.col("role") == 0
     own = F.when(member, F.pmod(F.xxhash64("word"), F.col("_members"))).otherwise(F.pmod(F.xxhash64("word"), F.col("_queries")))
     others = F.when(member, F.col("_queries")).otherwise(F.col("_members"))
@@ -344,13 +345,14 @@ def variants(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     way = materialise(found.filter("form is not null").select("word", F.col("form").alias("root")))
     for _ in range(DOUBLINGS):
         on = way.select(F.col("word").alias("_w"), F.col("root").alias("_next"))
-        longer = way.join(on, F.col("root") == F.col("_w"), "left")
+        # Packed words are several times larger in memory, and each round would leave a broadcast behind.
+        longer = way.join(on.hint("merge"), F.col("root") == F.col("_w"), "left")
         moved = materialise(longer.select("word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("moved")))
         if moved.filter("moved").isEmpty():
             break
         way = moved.select("word", "root")
     ends = way.select(F.col("word").alias("_w"), F.col("root").alias("_root"))
-    rows = found.join(ends, F.col("word") == F.col("_w"), "left")
+    rows = found.join(ends.hint("merge"), F.col("word") == F.col("_w"), "left")
     return rows.select(*found.columns, F.coalesce("_root", "word").alias("root"))
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sellerbooks.llm import spelling
+from sellerbooks.session import materialise
 
 COLUMNS = ("word", "n", "n_near", "form", "form_n", "root")
 
@@ -51,6 +52,13 @@ def test_blocks_of_any_size_and_depth_give_the_same(documents, corpus, monkeypat
         assert found(docs) == whole
 
 
+def test_no_join_sends_words_to_the_driver(spark, documents, corpus):
+    table = materialise(spelling.words(documents(corpus)))
+    for frame in (spelling.near_pairs(table), spelling.variants(documents(corpus))):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
 def test_ways_of_several_steps_lead_to_the_root(documents):
     # abcdefgh (2) -> abcdefgi (20) -> abcdefji (200): each ten times as frequent as the one before.
     said = ["abcdefgh"] * 2 + ["abcdefgi"] * 20 + ["abcdefji"] * 200

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from sellerbooks.operators.grouping import (
 )
 from sellerbooks.operators.joins import lookup, map_with_fallback, same
 from sellerbooks.operators.ordered import global_sequence
+from sellerbooks.session import unstaged
 from sellerbooks.sources.publish import delete_where, map_values
 
 SKU = ("account_name", "sku")
@@ -167,10 +170,16 @@ def open_finance_upload(finances: DataFrame, asins: DataFrame, totals: DataFrame
     return delete_where(grouped, F.col("total_amount").isNull() & F.col("amount").isNull())
 
 
-def posted_order_fees(settlements: DataFrame, asins: DataFrame, since: str = "2022-01-01") -> DataFrame:
+def posted_order_fees(
+    settlements: DataFrame,
+    asins: DataFrame,
+    since: str = "2022-01-01",
+    stage: Callable[[DataFrame], DataFrame] = unstaged,
+) -> DataFrame:
     """Posted fees per order, sku, type and shipment.
 
-    The marketplace tax line of an order feeds no measure; it only keeps the group.
+    The marketplace tax line of an order feeds no measure; it only keeps the group. ``stage``
+    writes the groups between the three shuffles, so that one of them lies on disk at a time.
     """
     description = F.lower("amount_description")
     wanted = description.isin([d.lower() for d in FEE_COLUMNS]) | (
@@ -179,7 +188,7 @@ def posted_order_fees(settlements: DataFrame, asins: DataFrame, since: str = "20
     rows = settlements.filter((F.col("settlement_start_date") >= F.lit(since).cast("date")) & wanted).withColumn(
         "group_id", F.coalesce("shipment_id", "adjustment_id")
     )
-    keys = ["account_name", "order_id", "sku", "transaction_type", "group_id"]
+    keys = ["order_id", "sku", "group_id", "account_name", "transaction_type"]
     # Only fixed-width state, so the largest aggregation of all hashes first: the least
     # description is kept as its place among the known ones.
     known = sorted([*FEE_COLUMNS, TAX_LINE])
@@ -196,10 +205,12 @@ def posted_order_fees(settlements: DataFrame, asins: DataFrame, since: str = "20
             *[(name, "sum", F.when(text_is("amount_description", d), F.col("amount"))) for d, name in FEE_COLUMNS.items()],
             ("quantity", "sum", F.when(text_is("amount_description", "Principal"), F.col("quantity_purchased"))),
         ],
+        stage,
     )
     fees = fees.withColumn("amount_description", F.element_at(F.array(*[F.lit(k) for k in known]), F.col("_place")))
     # The asin depends on account and sku alone, so it is looked up once per group.
-    return _fee_shape(lookup(fees, asins, same(*SKU), ["asin"]).withColumn("status", F.lit("POSTED")))
+    by_sku = {"sku": "sku", "account_name": "account_name"}
+    return _fee_shape(lookup(stage(fees), asins, by_sku, ["asin"]).withColumn("status", F.lit("POSTED")))
 
 
 def open_order_fees(
